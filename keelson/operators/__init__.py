@@ -1,0 +1,5 @@
+"""Reusable DataFrame building blocks."""
+
+from keelson.operators.broadcast import broadcast_if_bounded, measure
+
+__all__ = ["broadcast_if_bounded", "measure"]

@@ -1,0 +1,47 @@
+"""Broadcast a join side only after measuring it.
+
+``F.broadcast`` copies a DataFrame to every executor, so it is safe only
+for data whose size is known not to grow with the rest of the job. The
+guard reads at most ``max_rows + 1`` rows of the candidate, measures them,
+and hints the broadcast only when the whole side fits both limits. Beyond
+them the side is returned unhinted and Spark plans a shuffle join; AQE may
+still turn that into a broadcast once it has measured the shuffle output.
+
+The probe is a ``limit`` followed by ``collect``, which Spark runs
+incrementally: one partition first, more only while rows are missing. On
+a large table it stops after the first partition; the driver receives at
+most ``max_rows + 1`` integers, never the table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Defaults for a dimension table: far above a 25-row nation list, far below
+# what an executor can hold.
+DEFAULT_MAX_ROWS = 100_000
+DEFAULT_MAX_BYTES = 8 * 1024 * 1024
+
+
+def measure(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """Rows and JSON-text bytes of the first ``max_rows + 1`` rows of ``df``.
+
+    The JSON length of a row is an upper-side estimate of its size in a
+    broadcast hash table for the narrow key/name rows this guard is used on.
+    """
+    row_bytes = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    sizes = df.select(row_bytes.alias("b")).limit(max_rows + 1).collect()
+    return len(sizes), sum(r["b"] or 0 for r in sizes)
+
+
+def broadcast_if_bounded(
+    df: DataFrame,
+    max_rows: int = DEFAULT_MAX_ROWS,
+    max_bytes: int = DEFAULT_MAX_BYTES,
+) -> DataFrame:
+    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes, else ``df``."""
+    rows, size = measure(df, max_rows)
+    if rows <= max_rows and size <= max_bytes:
+        return F.broadcast(df)
+    return df

@@ -1,0 +1,108 @@
+"""Revenue and line count per customer region.
+
+Meaning (the oracle SQL below): join every line item to its order, the
+order to its customer, the customer to its nation and the nation to its
+region; per region name, sum ``price * (1 - discount)`` in decimals, exactly,
+and count the joined rows.
+
+Plan. Joining first and grouping last would carry every line item through
+three joins and shuffle all of them a second time, by customer, after the
+order join. A customer or order holding a third of all rows would then put a
+third of the data into one join task. Instead the plan sums before each
+join, down to the key of the next one:
+
+1. line items per ``l_orderkey``: sum and count (map-side partial
+   aggregation, then one shuffle of line items);
+2. join to orders on the order key and re-sum per ``o_custkey``;
+3. join to customers on the customer key; each customer row meets one
+   pre-summed row, so no key is hot in any join;
+4. map the nation key to the region name with a broadcast of
+   nation x region, done only after its size has been measured;
+5. re-sum per region.
+
+Sums and counts distribute over joins, duplicated keys included: a row
+that meets k partners is summed k times either way. So the result equals
+the join-then-group query for any data, with inner-join semantics (orphans
+and null keys drop out) and SQL null handling (``sum`` skips nulls, the
+count counts rows).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType
+
+from keelson.functions import discounted_units, units_to_money
+from keelson.operators import broadcast_if_bounded
+from keelson.sources import read_table
+
+# Result types, the same in the oracle SQL. The revenue total is summed
+# exactly and converted to double once: both engines turn the same exact
+# decimal into the same double, and floats compare alike in any tool,
+# where a decimal may print as 1.2300 on one side and 1.23 on the other.
+REVENUE = DoubleType()
+COUNT = LongType()
+
+ORACLE_SQL = """
+SELECT r_name,
+       CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))
+                * (1 - CAST(l_discount AS DECIMAL(18,2)))) AS DOUBLE) AS revenue,
+       CAST(COUNT(*) AS BIGINT) AS n_lines
+FROM lineitem
+JOIN orders   ON l_orderkey  = o_orderkey
+JOIN customer ON o_custkey   = c_custkey
+JOIN nation   ON c_nationkey = n_nationkey
+JOIN region   ON n_regionkey = r_regionkey
+GROUP BY r_name
+"""
+
+
+def revenue_by_region_of(
+    lineitem: DataFrame,
+    orders: DataFrame,
+    customer: DataFrame,
+    nation: DataFrame,
+    region: DataFrame,
+) -> DataFrame:
+    """The query over given DataFrames (tables or test fixtures)."""
+    per_order = lineitem.groupBy("l_orderkey").agg(
+        F.sum(discounted_units("l_extendedprice", "l_discount")).alias("units"),
+        F.count(F.lit(1)).alias("n_lines"),
+    )
+    per_customer = (
+        per_order.join(
+            orders.select("o_orderkey", "o_custkey"),
+            F.col("l_orderkey") == F.col("o_orderkey"),
+        )
+        .groupBy("o_custkey")
+        .agg(F.sum("units").alias("units"), F.sum("n_lines").alias("n_lines"))
+    )
+    nation_region = broadcast_if_bounded(
+        nation.select("n_nationkey", "n_regionkey")
+        .join(region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select("n_nationkey", "r_name")
+    )
+    return (
+        per_customer.join(
+            customer.select("c_custkey", "c_nationkey"),
+            F.col("o_custkey") == F.col("c_custkey"),
+        )
+        .join(nation_region, F.col("c_nationkey") == F.col("n_nationkey"))
+        .groupBy("r_name")
+        .agg(
+            units_to_money(F.sum("units")).cast(REVENUE).alias("revenue"),
+            F.sum("n_lines").cast(COUNT).alias("n_lines"),
+        )
+    )
+
+
+def revenue_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The query over the parquet tables in ``sf_dir``."""
+    return revenue_by_region_of(
+        read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_extendedprice", "l_discount"),
+        read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey"),
+        read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey"),
+        read_table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey"),
+        read_table(spark, sf_dir, "region", "r_regionkey", "r_name"),
+    )

@@ -1,0 +1,6 @@
+"""Streaming queries: none.
+
+The source project defines no stream, watermark, window or state, so there
+is nothing here to run with Structured Streaming. The package is kept so
+the layout does not change if a streaming query is ever specified.
+"""
