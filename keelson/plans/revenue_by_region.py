@@ -16,8 +16,8 @@ join, down to the key of the next one:
 2. join to orders on the order key and re-sum per ``o_custkey``;
 3. join to customers on the customer key; each customer row meets one
    pre-summed row, so no key is hot in any join;
-4. map the nation key to the region name with a broadcast of
-   nation x region, done only after its size has been measured;
+4. map the nation key to the region name through broadcast joins with
+   nation and with region, each hinted only after its size was measured;
 5. re-sum per region.
 
 Sums and counts distribute over joins, duplicated keys included: a row
@@ -78,17 +78,19 @@ def revenue_by_region_of(
         .groupBy("o_custkey")
         .agg(F.sum("units").alias("units"), F.sum("n_lines").alias("n_lines"))
     )
-    nation_region = broadcast_if_bounded(
-        nation.select("n_nationkey", "n_regionkey")
-        .join(region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("n_nationkey", "r_name")
-    )
     return (
         per_customer.join(
             customer.select("c_custkey", "c_nationkey"),
             F.col("o_custkey") == F.col("c_custkey"),
         )
-        .join(nation_region, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(
+            broadcast_if_bounded(nation.select("n_nationkey", "n_regionkey")),
+            F.col("c_nationkey") == F.col("n_nationkey"),
+        )
+        .join(
+            broadcast_if_bounded(region.select("r_regionkey", "r_name")),
+            F.col("n_regionkey") == F.col("r_regionkey"),
+        )
         .groupBy("r_name")
         .agg(
             units_to_money(F.sum("units")).cast(REVENUE).alias("revenue"),

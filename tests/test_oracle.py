@@ -1,0 +1,35 @@
+"""Every registered query against its DuckDB oracle on the driver's tables."""
+
+from __future__ import annotations
+
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from tests.conftest import TESTDATA, duckdb_on
+
+
+def _rows(pdf):
+    pdf = pdf[sorted(pdf.columns)]
+    return sorted(tuple(r) for r in pdf.itertuples(index=False))
+
+
+def test_every_query_has_an_oracle():
+    assert set(queries()) == set(oracle_sql())
+
+
+def test_entry_smoke(spark):
+    df = entry(spark)
+    assert df.schema.simpleString() == "struct<r_name:string,revenue:double,n_lines:bigint>"
+    assert len(df.collect()) == 5
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query_matches_oracle(spark, sf, name):
+    sf_dir = f"{TESTDATA}/{sf}"
+    got = queries()[name](spark, sf_dir).toPandas()
+    want = duckdb_on(sf_dir).execute(oracle_sql()[name]).df()
+    assert sorted(got.columns) == sorted(want.columns)
+    assert {c: str(t) for c, t in got.dtypes.items()} == {c: str(t) for c, t in want.dtypes.items()}
+    # Exact equality, floats included: both sides round the same exact sum.
+    assert _rows(got) == _rows(want)
