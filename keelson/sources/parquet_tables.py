@@ -12,6 +12,8 @@ column missing from a file reads as null, as with any declared schema.)
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
@@ -32,9 +34,14 @@ SCHEMAS: dict[str, str] = {
 }
 
 
+@functools.cache
+def _parsed(name: str) -> StructType:
+    return StructType.fromDDL(SCHEMAS[name])
+
+
 def table_schema(name: str, columns: tuple[str, ...] = ()) -> StructType:
     """The declared schema of ``name``, narrowed to ``columns`` if any are given."""
-    full = StructType.fromDDL(SCHEMAS[name])
+    full = _parsed(name)
     if not columns:
         return full
     by_name: dict[str, StructField] = {f.name: f for f in full.fields}
