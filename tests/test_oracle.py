@@ -23,7 +23,7 @@ def test_entry_smoke(spark):
     assert len(df.collect()) == 5
 
 
-@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, sf, name):
     sf_dir = f"{TESTDATA}/{sf}"

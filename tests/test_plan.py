@@ -13,7 +13,7 @@ import re
 
 import pytest
 
-from keelson.operators import broadcast_if_bounded
+from keelson.operators import broadcast_if_bounded, measure
 from keelson.plans import revenue_by_region
 from tests.conftest import TESTDATA
 
@@ -102,3 +102,22 @@ def test_guard_refuses_too_many_bytes(spark, large_tables):
     left = spark.range(1000)
     joined = left.join(broadcast_if_bounded(wide, max_bytes=5000), left.id == wide.k)
     assert "BroadcastExchange" not in plan_text(joined)
+
+
+def test_probe_of_a_large_input_reads_one_partition(spark):
+    big = spark.range(0, 10_000_000, numPartitions=64)
+    sc = spark.sparkContext
+    sc.setJobGroup("probe-test", "probe-test")
+    try:
+        rows, _ = measure(big, max_rows=1000)
+    finally:
+        sc.setJobGroup("other", "other")
+    tracker = sc.statusTracker()
+    tasks = sum(
+        tracker.getStageInfo(stage).numTasks
+        for job in tracker.getJobIdsForGroup("probe-test")
+        for stage in tracker.getJobInfo(job).stageIds
+        if tracker.getStageInfo(stage) is not None
+    )
+    assert rows == 1001
+    assert tasks == 1
