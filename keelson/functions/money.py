@@ -30,7 +30,8 @@ UNITS_PER_MONEY = 10_000
 
 # Bounds for the integer path: |price| < 1e13 and |discount| < 10 keep
 # cents * (100 - cents) below 1.1e18, inside a signed 64-bit integer, and
-# keep the double arithmetic below exact to the cent.
+# keep x * 100 close enough to an integer in double precision that rint
+# recovers the exact cent count.
 _MAX_PRICE_CENTS = 1e15
 _MAX_DISCOUNT_CENTS = 1e3
 

@@ -8,10 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Settings the query results depend on. They are set on every session this
-# module builds, and checked by the tests.
+# Settings results can depend on, set on every session this module builds.
 FIXED_CONF = {
-    # Timestamps are compared with DuckDB, which has no session zone.
+    # Results with timestamps must not depend on the machine's time zone.
     "spark.sql.session.timeZone": "UTC",
     # Decimal and integer overflow must raise, never wrap or turn into null.
     "spark.sql.ansi.enabled": "true",
