@@ -18,8 +18,6 @@ shuffle records read by one task.
 from __future__ import annotations
 
 import argparse
-import glob
-import io
 import json
 import os
 import sys
@@ -29,6 +27,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from keelson.eventlog import task_stats  # noqa: E402
 from keelson.plans import REVENUE_BY_REGION_SQL, revenue_by_region  # noqa: E402
 from keelson.session import local_session  # noqa: E402
 from keelson.sources import read_table  # noqa: E402
@@ -70,32 +69,6 @@ def join_first(spark, sf_dir):
     return spark.sql(REVENUE_BY_REGION_SQL)
 
 
-def task_stats(event_dir: str, groups: set[str]) -> dict[str, dict[str, int]]:
-    import zstandard
-
-    stage_group: dict[int, str] = {}
-    stats: dict[str, dict[str, int]] = {}
-    for path in glob.glob(os.path.join(event_dir, "*", "events_*")):
-        raw = open(path, "rb")
-        stream = zstandard.ZstdDecompressor().stream_reader(raw) if path.endswith(".zstd") else raw
-        for line in io.TextIOWrapper(stream, encoding="utf-8"):
-            e = json.loads(line)
-            if e["Event"] == "SparkListenerJobStart":
-                group = (e.get("Properties") or {}).get("spark.jobGroup.id")
-                for stage in e["Stage IDs"]:
-                    stage_group[stage] = group
-            elif e["Event"] == "SparkListenerTaskEnd" and stage_group.get(e["Stage ID"]) in groups:
-                m = e.get("Task Metrics") or {}
-                info = e["Task Info"]
-                s = stats.setdefault(stage_group[e["Stage ID"]], {"shuffle_bytes": 0, "max_task_ms": 0, "max_task_records": 0})
-                s["shuffle_bytes"] += (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
-                s["max_task_ms"] = max(s["max_task_ms"], info["Finish Time"] - info["Launch Time"])
-                s["max_task_records"] = max(
-                    s["max_task_records"], (m.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0)
-                )
-    return stats
-
-
 def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--src", default="/root/testdata/sf0.1")
@@ -129,7 +102,7 @@ def main() -> None:
             timings[group] = round(time.perf_counter() - start, 2)
             spark.sparkContext.setJobGroup("other", "other")
     spark.stop()
-    stats = task_stats(events, set(timings))
+    stats = task_stats(events)
     for group, seconds in timings.items():
         print(json.dumps({"run": group, "copies": args.copies, "warm_sec": seconds, **stats.get(group, {})}))
 
