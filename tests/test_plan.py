@@ -121,3 +121,10 @@ def test_probe_of_a_large_input_reads_one_partition(spark):
     )
     assert rows == 1001
     assert tasks == 1
+
+
+def test_measure_handles_any_column_name(spark):
+    df = spark.createDataFrame([(1, "x"), (2, None)], "`a.b` int, `c d` string")
+    rows, size = measure(df, max_rows=10)
+    assert rows == 2
+    assert size == len('{"a.b":1,"c d":"x"}') + len('{"a.b":2}')
