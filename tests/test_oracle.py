@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from keelson.plans import revenue_by_region_of
+from keelson.sources import read_table
 from tests.conftest import TESTDATA, duckdb_on
 
 
@@ -33,3 +35,33 @@ def test_query_matches_oracle(spark, sf, name):
     assert {c: str(t) for c, t in got.dtypes.items()} == {c: str(t) for c, t in want.dtypes.items()}
     # Exact equality, floats included: both sides round the same exact sum.
     assert _rows(got) == _rows(want)
+
+
+@pytest.mark.parametrize(
+    "conf",
+    [
+        {"spark.sql.shuffle.partitions": "1"},
+        {"spark.sql.shuffle.partitions": "7"},
+        {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.enabled": "false"},
+    ],
+)
+def test_result_does_not_depend_on_partitioning(spark, conf):
+    """Exact sums: the same bits however rows are split and ordered."""
+    sf_dir = f"{TESTDATA}/sf0.01"
+    want = sorted(queries()["revenue_by_region"](spark, sf_dir).collect())
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        shuffled = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_extendedprice", "l_discount").repartition(13)
+        got = revenue_by_region_of(
+            shuffled,
+            read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey"),
+            read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey"),
+            read_table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey"),
+            read_table(spark, sf_dir, "region", "r_regionkey", "r_name"),
+        )
+        assert sorted(got.collect()) == want
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
