@@ -8,7 +8,8 @@ broadcasts are turned off, as they would be off for tables of this size
 on a cluster; nation and region are still broadcast through the measured
 hint.
 
-Prints one JSON line per plan and data set: warm wall time, and from
+Prints one JSON line per plan and data set: warm wall time, whether both
+plans returned the same rows (the script fails if not), and from
 Spark's event log the shuffle bytes written, the longest task and the most
 shuffle records read by one task.
 
@@ -89,22 +90,28 @@ def main() -> None:
             "spark.eventLog.dir": events,
         },
     )
-    timings = {}
+    timings, same = {}, {}
     for skew in (False, True):
-        data = os.path.join(args.out, "skewed" if skew else "plain")
+        variant = "skewed" if skew else "plain"
+        data = os.path.join(args.out, variant)
         derive(spark, args.src, data, args.copies, skew)
+        results = []
         for plan_name, plan in (("keelson", revenue_by_region), ("join_first", join_first)):
-            group = f"{plan_name}-{'skewed' if skew else 'plain'}"
+            group = f"{plan_name}-{variant}"
             plan(spark, data).collect()  # warm-up, not measured
             spark.sparkContext.setJobGroup(group, group)
             start = time.perf_counter()
-            plan(spark, data).collect()
+            results.append(sorted(plan(spark, data).collect()))
             timings[group] = round(time.perf_counter() - start, 2)
             spark.sparkContext.setJobGroup("other", "other")
+        same[variant] = results[0] == results[1]
     spark.stop()
     stats = task_stats(events)
     for group, seconds in timings.items():
-        print(json.dumps({"run": group, "copies": args.copies, "warm_sec": seconds, **stats.get(group, {})}))
+        variant = group.split("-")[1]
+        print(json.dumps({"run": group, "copies": args.copies, "warm_sec": seconds, "same_result": same[variant], **stats.get(group, {})}))
+    if not all(same.values()):
+        sys.exit("the two plans returned different results")
 
 
 if __name__ == "__main__":
