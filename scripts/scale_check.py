@@ -2,8 +2,8 @@
 
 The scaled tables are derived by Spark from the driver's tables: ``--copies``
 copies of lineitem, orders and customer with keys offset per copy, so every
-copy joins only to itself. ``--skew`` then points a third of the line items
-at one order and a third of the orders at one customer. Spark's size-based
+copy joins only to itself, once as they are and once skewed: a third of the
+line items pointed at one order and a third of the orders at one customer. Spark's size-based
 broadcasts are turned off, as they would be off for tables of this size
 on a cluster; nation and region are still broadcast through the measured
 hint.
