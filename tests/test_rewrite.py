@@ -79,7 +79,8 @@ def run_duckdb(t):
 
 
 def key(hi):
-    return st.one_of(st.none(), st.integers(0, hi))
+    """A key in 0..hi, or null about one time in 5 * (hi + 1) + 1."""
+    return st.sampled_from(list(range(hi + 1)) * 5 + [None])
 
 
 cents = st.integers(-10**9, 10**9).map(lambda c: c / 100)
@@ -89,19 +90,28 @@ cents = st.integers(-10**9, 10**9).map(lambda c: c / 100)
 mills = st.integers(-10**9, 10**9).filter(lambda m: m % 10 != 5).map(lambda m: m / 1000)
 
 
+def maybe(values):
+    """A value, or null about one time in eight."""
+    return st.tuples(st.sampled_from([True] * 7 + [False]), values).map(lambda t: t[1] if t[0] else None)
+
+
 def tables(price, discount):
+    # Small key ranges, rare nulls and at least one row per table, so that
+    # most examples join through all five tables: when this was written, 58%
+    # and 70% of 300 drawn examples (brute-force and oracle variants) gave
+    # result rows, most of them with duplicate order keys.
     return st.fixed_dictionaries(
         {
-            "lineitem": st.lists(st.tuples(key(6), st.one_of(st.none(), price), st.one_of(st.none(), discount)), max_size=40),
-            "orders": st.lists(st.tuples(key(6), key(4)), max_size=12),
-            "customer": st.lists(st.tuples(key(4), key(3)), max_size=8),
-            "nation": st.lists(st.tuples(key(3), key(2)), max_size=6),
-            "region": st.lists(st.tuples(key(2), st.sampled_from(["AFRICA", "ASIA", "EUROPE", None])), max_size=4),
+            "lineitem": st.lists(st.tuples(key(3), maybe(price), maybe(discount)), min_size=2, max_size=40),
+            "orders": st.lists(st.tuples(key(3), key(2)), min_size=2, max_size=12),
+            "customer": st.lists(st.tuples(key(2), key(1)), min_size=2, max_size=8),
+            "nation": st.lists(st.tuples(key(1), key(1)), min_size=2, max_size=6),
+            "region": st.lists(st.tuples(key(1), st.sampled_from(["AFRICA", "ASIA", "EUROPE", None])), min_size=1, max_size=4),
         }
     )
 
 
-SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.too_slow, HealthCheck.data_too_large])
+SETTINGS = settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.too_slow, HealthCheck.data_too_large])
 
 
 @SETTINGS
