@@ -35,7 +35,7 @@ def test_whole_cents(spark):
     assert df.select(discounted_units("p", "d")).first()[0] == Decimal(5292318 * 96)
 
 
-@settings(max_examples=10, deadline=None)
+@settings(max_examples=25, deadline=None)
 @given(
     st.lists(
         st.tuples(
