@@ -19,11 +19,16 @@ FIXED_CONF = {
 # Performance settings. AQE re-plans each stage from the real size of the
 # shuffle output: it turns a sort-merge join into a broadcast join only when
 # the side it measured is under the threshold, splits skewed join
-# partitions and merges small ones.
+# partitions and merges small ones. Broadcasts chosen before execution from
+# file-size estimates are off, since compressed files can expand far beyond
+# their estimate; every broadcast is then either measured by AQE or hinted
+# after an explicit probe (keelson.operators.broadcast_if_bounded).
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
 }
 
 
