@@ -43,10 +43,12 @@ def test_query_matches_oracle(spark, sf, name):
         {"spark.sql.shuffle.partitions": "1"},
         {"spark.sql.shuffle.partitions": "7"},
         {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.enabled": "false"},
+        {"spark.sql.ansi.enabled": "false"},
     ],
 )
 def test_result_does_not_depend_on_partitioning(spark, conf):
-    """Exact sums: the same bits however rows are split and ordered."""
+    """Exact sums: the same bits however rows are split and ordered, and
+    with ANSI mode off, as a caller's session may have it."""
     sf_dir = f"{TESTDATA}/sf0.01"
     want = sorted(queries()["revenue_by_region"](spark, sf_dir).collect())
     old = {k: spark.conf.get(k) for k in conf}
