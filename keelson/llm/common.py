@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,7 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back.
 
     This cuts the lineage: what reads the result does not depend on any
@@ -51,8 +52,7 @@ def stored(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    out = df.coalesce(partitions) if partitions else df
-    out.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._keelson_path = path
     return back
@@ -95,3 +95,27 @@ def attempt_name(prefix: str, suffix: str) -> str:
     by the attempt that Spark commits are read later.
     """
     return f"{prefix}-{os.getpid()}-{uuid.uuid4().hex}{suffix}"
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this library importable in Python workers, once per application.
+
+    The same as passing it with ``--py-files``: workers may run in another folder or on
+    another machine than the driver.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    target = os.path.join(tempfile.mkdtemp(prefix="keelson-"), "keelson_library.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "keelson")):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(target)
+    _shipped.add(app)

@@ -93,7 +93,7 @@ def solve(hist: DataFrame, goals: DataFrame, cap: float = CAP) -> DataFrame:
         .select("k", "target", "mean", "full", "lo", "hi", F.lit(0.0).alias("lam"), F.lit(False).alias("done"))
         .withColumn("done", F.col("full") | F.col("done"))
     )
-    state = stored(state, "mix-state", 1)
+    state = stored(state, "mix-state")
     for _ in range(MAX_STEPS):
         if state.where("not done").isEmpty():
             break
@@ -125,7 +125,7 @@ def solve(hist: DataFrame, goals: DataFrame, cap: float = CAP) -> DataFrame:
                 (F.col("done") | near).alias("done"),
             )
         )
-        before, state = state, stored(stepped, "mix-state", 1)
+        before, state = state, stored(stepped, "mix-state")
         dropped(before)
     return state.select("k", "mean", "target", F.when(~F.col("full"), F.col("lam")).alias("lam"))
 
@@ -153,11 +153,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     """doc_id, source, size, source_size, target, rate, copies, taken for every row of docs."""
     named = stored(sized(docs), "mix-sizes")
     per_source = named.groupBy("source").agg(F.sum("size").alias("source_size"))
-    goals = stored(targets(per_source, weights, share, cap), "mix-targets", 1)
+    goals = stored(targets(per_source, weights, share, cap), "mix-targets")
     same = F.col("d.source").eqNullSafe(F.col("g.source"))
     keyed = named.alias("d").join(goals.alias("g"), same).select("doc_id", "d.source", "size", "k", "source_size", "target")
     hist = stored(keyed.groupBy("k", "size").agg(F.count(F.lit(1)).alias("n")), "mix-hist")
-    lam = stored(solve(hist, goals.select("k", "source_size", "target"), cap), "mix-lambda", 1)
+    lam = stored(solve(hist, goals.select("k", "source_size", "target"), cap), "mix-lambda")
 
     rate = F.when(F.col("size") > 0, _rate(F.col("lam"), F.col("size") / F.col("mean"), cap)).otherwise(F.lit(1.0))
     u = F.pmod(F.xxhash64(F.col("doc_id"), F.col("size"), F.lit(5)), F.lit(1 << 40)) / F.lit(float(1 << 40))
@@ -176,13 +176,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     fixed = rated.groupBy("k", "target").agg(F.sum(F.col("base") * F.col("size")).alias("base_words"))
     coarse = rated.where("open").groupBy("k", "bin").agg(F.sum("size").alias("words")).join(fixed, "k")
     first = _threshold(coarse, "base_words", "target").select("k", F.col("bin").alias("bin1"), F.col("below").alias("below1"))
-    first = stored(first.join(fixed.select("k", "target"), "k"), "mix-coarse", 1)
+    first = stored(first.join(fixed.select("k", "target"), "k"), "mix-coarse")
     fine = rated.where("open").drop("target").join(first, "k").where("bin = bin1")
     fine = fine.groupBy("k", "fine", "below1", "target").agg(F.sum("size").alias("words")).withColumnRenamed("fine", "bin")
     second = _threshold(fine, "below1", "target").join(first, "k")
     # the bin in which the goal falls goes in whole if that ends nearer to it
     keep = (F.col("target") - F.col("below")) >= F.col("words") / 2
-    cut = stored(second.select("k", "bin1", (F.col("bin") + keep.cast("int")).alias("bin2")), "mix-cut", 1)
+    cut = stored(second.select("k", "bin1", (F.col("bin") + keep.cast("int")).alias("bin2")), "mix-cut")
 
     extra = F.col("open") & ((F.col("bin") < F.col("bin1")) | ((F.col("bin") == F.col("bin1")) & (F.col("fine") < F.col("bin2"))))
     copies = F.col("base") + F.coalesce(extra, F.lit(False)).cast("long")
