@@ -11,6 +11,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Fixed value: what the query contracts call a word, as a Java/RE2/Python regex.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -52,7 +53,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    # once the table is written nothing needs its shuffle files
+    before = spark.conf.get(CLEANUP_KEY, "false")
+    spark.conf.set(CLEANUP_KEY, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP_KEY, before)
     back = spark.read.schema(df.schema).parquet(path)
     back._keelson_path = path
     return back

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from keelson.llm.jaccard import ORACLE_SQL as JACCARD_SQL
+from keelson.llm.jaccard import op2_jaccard_join
 from keelson.llm.mixing import op5_mixing
 from keelson.llm.pii import op3_pii
 from keelson.llm.tokens import op4_tokens
@@ -13,9 +15,10 @@ from keelson.llm.warc import op1_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_pii": op3_pii,
     "op4_tokens": op4_tokens,
     "op5_mixing": op5_mixing,
 }
 
-ORACLE_SQL: dict[str, str | None] = {"op1_warc": None, "op3_pii": None, "op4_tokens": None, "op5_mixing": None}
+ORACLE_SQL: dict[str, str | None] = {"op1_warc": None, "op2_jaccard_join": JACCARD_SQL, "op3_pii": None, "op4_tokens": None, "op5_mixing": None}
