@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from keelson.llm.jaccard import ORACLE_SQL as JACCARD_SQL
 from keelson.llm.jaccard import op2_jaccard_join
+from keelson.llm.line_rules import ORACLE_SQL as RULES_SQL
+from keelson.llm.line_rules import op8_line_rules
 from keelson.llm.mixing import op5_mixing
 from keelson.llm.pii import op3_pii
 from keelson.llm.quality_crf import op10_quality_crf
@@ -20,7 +22,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op4_tokens": op4_tokens,
     "op5_mixing": op5_mixing,
+    "op8_line_rules": op8_line_rules,
     "op10_quality_crf": op10_quality_crf,
 }
 
-ORACLE_SQL: dict[str, str | None] = {"op1_warc": None, "op2_jaccard_join": JACCARD_SQL, "op3_pii": None, "op4_tokens": None, "op5_mixing": None, "op10_quality_crf": None}
+ORACLE_SQL: dict[str, str | None] = {"op1_warc": None, "op2_jaccard_join": JACCARD_SQL, "op3_pii": None, "op4_tokens": None, "op5_mixing": None, "op8_line_rules": RULES_SQL, "op10_quality_crf": None}
