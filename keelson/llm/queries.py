@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from keelson.llm.decontaminate import op9_decontaminate
 from keelson.llm.jaccard import ORACLE_SQL as JACCARD_SQL
 from keelson.llm.jaccard import op2_jaccard_join
 from keelson.llm.line_rules import ORACLE_SQL as RULES_SQL
@@ -23,7 +24,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_tokens": op4_tokens,
     "op5_mixing": op5_mixing,
     "op8_line_rules": op8_line_rules,
+    "op9_decontaminate": op9_decontaminate,
     "op10_quality_crf": op10_quality_crf,
 }
 
-ORACLE_SQL: dict[str, str | None] = {"op1_warc": None, "op2_jaccard_join": JACCARD_SQL, "op3_pii": None, "op4_tokens": None, "op5_mixing": None, "op8_line_rules": RULES_SQL, "op10_quality_crf": None}
+ORACLE_SQL: dict[str, str | None] = {"op1_warc": None, "op2_jaccard_join": JACCARD_SQL, "op3_pii": None, "op4_tokens": None, "op5_mixing": None, "op8_line_rules": RULES_SQL, "op9_decontaminate": None, "op10_quality_crf": None}
