@@ -73,10 +73,11 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return body[: cut + 1], body[cut + 1 :]
 
 
-def threes(h: np.ndarray) -> set[tuple]:
-    """Three-word sequences; a shorter text is one sequence."""
-    h = h.tolist()
-    return set(zip(h, h[1:], h[2:], strict=False)) if len(h) >= 3 else {tuple(h)}
+def share(part: np.ndarray, near: np.ndarray) -> float:
+    """The share of a part's 3-word sequences that also stand in ``near``; shorter parts are one sequence."""
+    k = min(3, len(part))
+    own, other = (set(zip(*(h[i:].tolist() for i in range(k)), strict=False)) for h in (part, near))
+    return len(own & other) / len(own)
 
 
 class Index:
@@ -220,7 +221,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
 def _searcher(index, threshold: float, overlap: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix: Index = index.value
-        parts: dict[int, tuple[set, set]] = {}
+        parts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             ids, text = batch.column("doc_id"), batch.column("text")
             for i, _, data, offsets in chunks(text):
@@ -232,11 +233,11 @@ def _searcher(index, threshold: float, overlap: float):
                     found = ix.search(set(words.hashes[begin : min(b, begin + PASSAGE)].tolist()), threshold)
                     if not found:
                         continue
-                    near = threes(words.hashes[max(a, begin - PASSAGE) : min(b, begin + 2 * PASSAGE)])
+                    near = words.hashes[max(a, begin - PASSAGE) : min(b, begin + 2 * PASSAGE)]
                     for item, score in found:
                         if item not in parts:
-                            parts[item] = tuple(threes(hashes_of(x)) for x in question_and_answer(ix.texts[item]))
-                        q, r = (len(p & near) / len(p) for p in parts[item])
+                            parts[item] = tuple(hashes_of(x) for x in question_and_answer(ix.texts[item]))
+                        q, r = (share(p, near) for p in parts[item])
                         if q >= overlap and r >= overlap:
                             hits.append((ids[i + row].as_py(), ix.ids[item], score, q, r, passage))
                 if hits:
