@@ -16,6 +16,7 @@ from keelson.llm.pii import op3_pii
 from keelson.llm.quality_crf import op10_quality_crf
 from keelson.llm.tokens import op4_tokens
 from keelson.llm.warc import op1_warc
+from keelson.llm.wrappers import op6_main_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
@@ -23,9 +24,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op4_tokens": op4_tokens,
     "op5_mixing": op5_mixing,
+    "op6_main_text": op6_main_text,
     "op8_line_rules": op8_line_rules,
     "op9_decontaminate": op9_decontaminate,
     "op10_quality_crf": op10_quality_crf,
 }
 
-ORACLE_SQL: dict[str, str | None] = {"op1_warc": None, "op2_jaccard_join": JACCARD_SQL, "op3_pii": None, "op4_tokens": None, "op5_mixing": None, "op8_line_rules": RULES_SQL, "op9_decontaminate": None, "op10_quality_crf": None}
+ORACLE_SQL: dict[str, str | None] = {"op1_warc": None, "op2_jaccard_join": JACCARD_SQL, "op3_pii": None, "op4_tokens": None, "op5_mixing": None, "op6_main_text": None, "op8_line_rules": RULES_SQL, "op9_decontaminate": None, "op10_quality_crf": None}
