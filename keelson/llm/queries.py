@@ -14,6 +14,8 @@ from keelson.llm.line_rules import op8_line_rules
 from keelson.llm.mixing import op5_mixing
 from keelson.llm.pii import op3_pii
 from keelson.llm.quality_crf import op10_quality_crf
+from keelson.llm.substrings import ORACLE_SQL as REPEATS_SQL
+from keelson.llm.substrings import op7_substring_dedup
 from keelson.llm.tokens import op4_tokens
 from keelson.llm.warc import op1_warc
 from keelson.llm.wrappers import op6_main_text
@@ -25,9 +27,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_tokens": op4_tokens,
     "op5_mixing": op5_mixing,
     "op6_main_text": op6_main_text,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_line_rules": op8_line_rules,
     "op9_decontaminate": op9_decontaminate,
     "op10_quality_crf": op10_quality_crf,
 }
 
-ORACLE_SQL: dict[str, str | None] = {"op1_warc": None, "op2_jaccard_join": JACCARD_SQL, "op3_pii": None, "op4_tokens": None, "op5_mixing": None, "op6_main_text": None, "op8_line_rules": RULES_SQL, "op9_decontaminate": None, "op10_quality_crf": None}
+ORACLE_SQL: dict[str, str | None] = {"op1_warc": None, "op2_jaccard_join": JACCARD_SQL, "op3_pii": None, "op4_tokens": None, "op5_mixing": None, "op6_main_text": None, "op7_substring_dedup": REPEATS_SQL, "op8_line_rules": RULES_SQL, "op9_decontaminate": None, "op10_quality_crf": None}
