@@ -54,8 +54,8 @@ INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<i8"), ("length", "<i8"), ("n_t
 DICT_BYTES = 64 * 1024
 DICT_DOCS = 400  # documents the dictionary is trained on, at most
 DICT_CHARS = 8_000  # of each of them, at most
-CACHED_CHUNKS = 400_000  # per worker
-LEVEL = 3
+CACHED_CHUNKS = 800_000  # per worker
+LEVEL = 1
 SLICE = 256  # documents encoded at a time
 
 
@@ -65,6 +65,23 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _parts(chunk: str) -> tuple[str, ...]:
+    """A chunk as parts that the tokenizer separates anyway, so that more of them are known.
+
+    One comma or full stop after an ASCII letter or digit, at the end, stands alone; so does a line
+    break between two characters that are not blank.
+    """
+    if "\n" in chunk:
+        lines = chunk.split("\n")
+        if all(lines) and not any(x[0].isspace() or x[-1].isspace() for x in lines):
+            first, *more = lines
+            return (*_parts(first), *(p for x in more for p in ("\n", *_parts(x))))
+        return (chunk,)
+    if len(chunk) > 2 and chunk[-1] in ",." and chunk[-2].isalnum() and chunk[-2].isascii():
+        return (chunk[:-1], chunk[-1])
+    return (chunk,)
+
+
 class Encoder:
     """Whole texts to serialized id arrays, through the tokenizers library."""
 
@@ -76,37 +93,60 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # by chunk, for one that follows a space
+        self.bare: dict[str, bytes] = {}  # by part, for one that does not
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in got]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        split: list[list[str] | None] = []
-        new: set[str] = set()
+        """Texts to ids; what is met for the first time is encoded once, for all texts."""
+        known, bare = self.known, self.bare
+        get = known.get
+        plans: list[tuple[list[str], list[bytes | None], list[int]] | None] = []
+        new: dict[str, tuple[str, ...]] = {}  # chunk after a space -> its parts
+        words: set[str] = set()
+        singles: set[str] = set()
         whole: list[str] = []
         for text in texts:
-            chunks = text.split(" ")
-            if "" in chunks[1:]:
+            if "  " in text or text.endswith(" "):
                 whole.append(text)
-                split.append(None)
+                plans.append(None)
                 continue
-            chunks[1:] = [" " + c for c in chunks[1:]]
-            new.update(c for c in chunks if c not in known)
-            split.append(chunks)
-        order = list(new)
-        fresh = dict(zip(order, self._ids(order), strict=True)) if order else {}
+            head, *chunks = text.split(" ")
+            found = list(map(get, chunks))
+            gaps = [i for i, ids in enumerate(found) if ids is None]
+            for i in gaps:
+                if (c := chunks[i]) not in new:
+                    new[c] = parts = _parts(c)
+                    if parts[0] not in known:
+                        words.add(parts[0])
+                    singles.update(parts[1:])
+            singles.update(lead := _parts(head)) if head else (lead := ())
+            plans.append((chunks, found, gaps, lead))
+        singles = [x for x in singles if x not in bare]
+        words = list(words)
+        ids = self._ids([" " + w for w in words] + singles + whole)
+        first = dict(zip(words, ids, strict=False))
+        short = dict(zip(singles, ids[len(words) :], strict=False))
+        rest = iter(ids[len(words) + len(singles) :])
+        if len(bare) < CACHED_CHUNKS // 4:
+            bare.update(short)
+        one = lambda x: bare.get(x) or short[x]
+        fresh = {c: b"".join([get(p[0]) or first[p[0]], *map(one, p[1:])]) for c, p in new.items()}
         if len(known) < CACHED_CHUNKS:
+            known.update(first)
             known.update(fresh)
-        rest = iter(self._ids(whole) if whole else [])
         out = []
-        for chunks in split:
-            if chunks is None:
+        for plan in plans:
+            if plan is None:
                 out.append(next(rest))
-            else:
-                out.append(b"".join([known.get(c) or fresh[c] if c else b"" for c in chunks]))
+                continue
+            chunks, found, gaps, lead = plan
+            for i in gaps:
+                found[i] = fresh[chunks[i]]
+            out.append(b"".join([*map(one, lead), *found]))
         return out
 
 
@@ -132,11 +172,12 @@ def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
     """
     sample = (
         docs.where("text is not null and text != ''")
-        .select(F.xxhash64("doc_id").alias("h"), F.substring("text", 1, DICT_CHARS).alias("text"))
-        .orderBy("h", "text")
-        .limit(DICT_DOCS)
-        .collect()
+        .select(F.xxhash64("doc_id").alias("h"), "text")
     )
+    # the hashes decide first, without the texts, so that tasks send few of those
+    last = sample.select("h").orderBy("h").limit(DICT_DOCS).agg(F.max("h")).first()[0]
+    sample = sample.where(F.col("h") <= last).select("h", F.substring("text", 1, DICT_CHARS).alias("text")).limit(DICT_DOCS).collect() if last is not None else []
+    sample.sort()
     samples = encoder(tokenizer).encode([r.text for r in sample])
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
