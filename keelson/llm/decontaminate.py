@@ -197,20 +197,54 @@ class Index:
 HITS = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, passage long"
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
-    """Verified hits, one row per document and item, with the best passage's figures."""
-    spark = docs.sparkSession
-    ship(spark)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def indexes(benchmark: DataFrame) -> Iterator:
+    """Broadcast indexes of at most about SHARD_ITEMS items each, together all items."""
+    spark = benchmark.sparkSession
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     n = items.count()
     shards = 1 if n <= SHARD_ITEMS else -(-n * 5 // (SHARD_ITEMS * 4))
-    found = None
     for shard in range(shards):
-        # about SHARD_ITEMS items: the bound of what is collected and broadcast
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
-        index = spark.sparkContext.broadcast(Index(sorted((r.item_id, r.text) for r in part.collect())))
-        hits = own.mapInArrow(_searcher(index, threshold, overlap), HITS)
+        yield spark.sparkContext.broadcast(Index(sorted((r.item_id, r.text) for r in part.collect())))
+
+
+def verified_hits(ix: Index, column: pa.Array, threshold: float, overlap: float) -> Iterator[tuple]:
+    """(row, item_id, score, question overlap, answer overlap, passage) for a column of texts."""
+    parts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for i, _, data, offsets in chunks(column):
+        words = plain_words(data, offsets)
+        for row, passage in ix.may_match(words, threshold):
+            a, b = int(words.first[row]), int(words.first[row + 1])
+            begin = a + passage * STRIDE
+            near = words.hashes[max(a, begin - PASSAGE) : min(b, begin + 2 * PASSAGE)]
+            for item, score in ix.search(set(words.hashes[begin : min(b, begin + PASSAGE)].tolist()), threshold):
+                if item not in parts:
+                    parts[item] = tuple(hashes_of(x) for x in question_and_answer(ix.texts[item]))
+                q, r = (share(p, near) for p in parts[item])
+                if q >= overlap and r >= overlap:
+                    yield i + row, ix.ids[item], score, q, r, passage
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+    """Verified hits, one row per document and item, with the best passage's figures."""
+    ship(docs.sparkSession)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+    def searcher(index):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = batch.column("doc_id")
+                hits = [(ids[h[0]].as_py(), *h[1:]) for h in verified_hits(index.value, batch.column("text"), threshold, overlap)]
+                if hits:
+                    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
+                    names = [c.split()[0] for c in HITS.split(", ")]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*hits, strict=True), kinds, strict=True)], names=names)
+
+        return run
+
+    found = None
+    for index in indexes(benchmark):
+        hits = own.mapInArrow(searcher(index), HITS)
         found = hits if found is None else found.union(hits)
     return found.groupBy("doc_id", "item_id").agg(
         F.max("score").alias("score"), F.max("question_overlap").alias("question_overlap"), F.max("answer_overlap").alias("answer_overlap"),
@@ -218,34 +252,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
     )
 
 
-def _searcher(index, threshold: float, overlap: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix: Index = index.value
-        parts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in batches:
-            ids, text = batch.column("doc_id"), batch.column("text")
-            for i, _, data, offsets in chunks(text):
-                words = plain_words(data, offsets)
-                hits = []
-                for row, passage in ix.may_match(words, threshold):
-                    a, b = int(words.first[row]), int(words.first[row + 1])
-                    begin = a + passage * STRIDE
-                    found = ix.search(set(words.hashes[begin : min(b, begin + PASSAGE)].tolist()), threshold)
-                    if not found:
-                        continue
-                    near = words.hashes[max(a, begin - PASSAGE) : min(b, begin + 2 * PASSAGE)]
-                    for item, score in found:
-                        if item not in parts:
-                            parts[item] = tuple(hashes_of(x) for x in question_and_answer(ix.texts[item]))
-                        q, r = (share(p, near) for p in parts[item])
-                        if q >= overlap and r >= overlap:
-                            hits.append((ids[i + row].as_py(), ix.ids[item], score, q, r, passage))
-                if hits:
-                    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
-                    names = [c.split()[0] for c in HITS.split(", ")]
-                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*hits, strict=True), kinds, strict=True)], names=names)
+def clean_documents(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+    """The rows of docs without a verified hit, with all their columns."""
+    ship(docs.sparkSession)
+
+    def keeper(index):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                keep[[h[0] for h in verified_hits(index.value, batch.column("text"), threshold, overlap)]] = False
+                yield batch.filter(pa.array(keep))
+
+        return run
 
-    return run
+    for index in indexes(benchmark):
+        docs = docs.mapInArrow(keeper(index), docs.schema)
+    return docs
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

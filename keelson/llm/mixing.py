@@ -40,10 +40,14 @@ MAX_STEPS = 80
 TOLERANCE = 1e-9  # of the target
 
 
+def sized_columns() -> list[Column]:
+    words = F.regexp_count(F.col("text"), F.lit(WORD))
+    return [F.col("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce(words, F.lit(0)).cast("long").alias("size")]
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, source and size in words."""
-    words = F.regexp_count(F.col("text"), F.lit(WORD))
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), F.coalesce(words, F.lit(0)).cast("long").alias("size"))
+    return docs.select(*sized_columns())
 
 
 def targets(per_source: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
@@ -88,10 +92,9 @@ def solve(hist: DataFrame, goals: DataFrame, cap: float = CAP) -> DataFrame:
         .withColumn("mean", F.col("source_size") / F.col("docs"))
         .withColumn("x0", F.col("least") / F.col("mean"))
         .withColumn("full", F.col("target") >= F.col("source_size") * F.lit(cap) * (1 - 1e-12))
-        .withColumn("hi", F.lit(cap) * 0 + F.log(F.lit(cap)) / F.col("x0"))
+        .withColumn("hi", F.log(F.lit(cap)) / F.col("x0"))
         .withColumn("lo", F.least(F.lit(0.0), F.log(F.col("target") / F.col("source_size")) / F.col("x0")))
-        .select("k", "target", "mean", "full", "lo", "hi", F.lit(0.0).alias("lam"), F.lit(False).alias("done"))
-        .withColumn("done", F.col("full") | F.col("done"))
+        .select("k", "target", "mean", "full", "lo", "hi", F.lit(0.0).alias("lam"), F.col("full").alias("done"))
     )
     state = stored(state, "mix-state")
     for _ in range(MAX_STEPS):
@@ -149,47 +152,76 @@ def _threshold(bins: DataFrame, before: str, goal: str) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
-    """doc_id, source, size, source_size, target, rate, copies, taken for every row of docs."""
-    named = stored(sized(docs), "mix-sizes")
-    per_source = named.groupBy("source").agg(F.sum("size").alias("source_size"))
-    goals = stored(targets(per_source, weights, share, cap), "mix-targets")
-    same = F.col("d.source").eqNullSafe(F.col("g.source"))
-    keyed = named.alias("d").join(goals.alias("g"), same).select("doc_id", "d.source", "size", "k", "source_size", "target")
-    hist = stored(keyed.groupBy("k", "size").agg(F.count(F.lit(1)).alias("n")), "mix-hist")
-    lam = stored(solve(hist, goals.select("k", "source_size", "target"), cap), "mix-lambda")
+def _rated(sized_docs: DataFrame, of_source: DataFrame, cap: float) -> DataFrame:
+    """Documents (doc_id, source, size, ...) with their rate and place in the rounding order.
 
+    of_source: source, k, source_size, target, mean, lam. A document at the cap, or without
+    words, takes no extra copy: ``open`` is false.
+    """
+    same = F.col("d.source").eqNullSafe(F.col("s.source"))
     rate = F.when(F.col("size") > 0, _rate(F.col("lam"), F.col("size") / F.col("mean"), cap)).otherwise(F.lit(1.0))
     u = F.pmod(F.xxhash64(F.col("doc_id"), F.col("size"), F.lit(5)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     place = (F.col("u") - F.col("rate") + F.floor("rate") + 1) / 2 * BINS
-    rated = (
-        keyed.join(lam.select("k", "mean", "lam"), "k", "left")
+    return (
+        sized_docs.alias("d")
+        .join(of_source.alias("s"), same, "left")
+        .drop(F.col("s.source"))
         .withColumn("rate", rate)
         .withColumn("u", u)
         .withColumn("place", F.least(place, F.lit(BINS - 1e-6)))
         .withColumn("bin", F.floor("place"))
         .withColumn("fine", F.floor((F.col("place") - F.col("bin")) * BINS))
-        # a document already at the cap, or without words, takes no extra copy
         .withColumn("open", (F.floor("rate") + 1 <= F.lit(cap)) & (F.col("size") > 0))
         .withColumn("base", F.floor("rate"))
     )
+
+
+def solve_mix(sized_docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
+    """One stored row per source: target, tilt and rounding threshold, for documents (doc_id, source, size)."""
+    per_source = sized_docs.groupBy("source").agg(F.sum("size").alias("source_size"))
+    goals = stored(targets(per_source, weights, share, cap), "mix-targets")
+    same = F.col("d.source").eqNullSafe(F.col("g.source"))
+    by_size = sized_docs.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
+    hist = stored(by_size.alias("d").join(goals.select("source", "k").alias("g"), same).select("k", "size", "n"), "mix-hist")
+    lam = solve(hist, goals.select("k", "source_size", "target"), cap)
+    of_source = stored(goals.join(lam.select("k", "mean", "lam"), "k", "left"), "mix-lambda")
+
+    rated = _rated(sized_docs, of_source, cap)
     fixed = rated.groupBy("k", "target").agg(F.sum(F.col("base") * F.col("size")).alias("base_words"))
     coarse = rated.where("open").groupBy("k", "bin").agg(F.sum("size").alias("words")).join(fixed, "k")
     first = _threshold(coarse, "base_words", "target").select("k", F.col("bin").alias("bin1"), F.col("below").alias("below1"))
-    first = stored(first.join(fixed.select("k", "target"), "k"), "mix-coarse")
+    first = stored(first.join(goals.select("k", "target"), "k"), "mix-coarse")
     fine = rated.where("open").drop("target").join(first, "k").where("bin = bin1")
     fine = fine.groupBy("k", "fine", "below1", "target").agg(F.sum("size").alias("words")).withColumnRenamed("fine", "bin")
     second = _threshold(fine, "below1", "target").join(first, "k")
     # the bin in which the goal falls goes in whole if that ends nearer to it
     keep = (F.col("target") - F.col("below")) >= F.col("words") / 2
-    cut = stored(second.select("k", "bin1", (F.col("bin") + keep.cast("int")).alias("bin2")), "mix-cut")
+    cut = second.select("k", "bin1", (F.col("bin") + keep.cast("int")).alias("bin2"))
+    out = stored(of_source.join(cut, "k", "left"), "mix-cut")
+    dropped(goals, hist, of_source, first)
+    return out
+
 
+def with_copies(sized_docs: DataFrame, of_source: DataFrame, cap: float = CAP) -> DataFrame:
+    """Documents with the columns of their source, rate and copies."""
     extra = F.col("open") & ((F.col("bin") < F.col("bin1")) | ((F.col("bin") == F.col("bin1")) & (F.col("fine") < F.col("bin2"))))
-    copies = F.col("base") + F.coalesce(extra, F.lit(False)).cast("long")
-    return rated.join(cut, "k", "left").select(
-        "doc_id", "source", "size", "source_size", "target", "rate",
-        copies.alias("copies"), (copies * F.col("size")).alias("taken"),
-    )
+    return _rated(sized_docs, of_source, cap).withColumn("copies", F.col("base") + F.coalesce(extra, F.lit(False)).cast("long"))
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
+    """doc_id, source, size, source_size, target, rate, copies, taken for every row of docs."""
+    named = stored(sized(docs), "mix-sizes")
+    rated = with_copies(named, solve_mix(named, weights, share, cap), cap)
+    return rated.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
+    """The rows of docs, each as many times as the mix has copies of it."""
+    named = stored(sized(docs), "mix-sizes")
+    of_source = solve_mix(named, weights, share, cap)
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), *sized_columns())
+    rated = with_copies(whole, of_source, cap).where("copies > 0")
+    return rated.select("whole", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("whole.*")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -229,6 +229,20 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     return scored.select("doc_id", in_fold("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that the classifier does not reject, with all their columns."""
+    model = train(docs, labels)
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offsets in chunks(batch.column("text")):
+                got = model.score(data, offsets) if model else np.full(j - i, 0.5)
+                yield batch.slice(i, j - i).filter(pa.array(got >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of all documents."""
     return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

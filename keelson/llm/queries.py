@@ -33,4 +33,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_crf": op10_quality_crf,
 }
 
-ORACLE_SQL: dict[str, str | None] = {"op1_warc": None, "op2_jaccard_join": JACCARD_SQL, "op3_pii": None, "op4_tokens": None, "op5_mixing": None, "op6_main_text": None, "op7_substring_dedup": REPEATS_SQL, "op8_line_rules": RULES_SQL, "op9_decontaminate": None, "op10_quality_crf": None}
+ORACLE_SQL: dict[str, str] = {
+    "op2_jaccard_join": JACCARD_SQL,
+    "op7_substring_dedup": REPEATS_SQL,
+    "op8_line_rules": RULES_SQL,
+}
