@@ -1,9 +1,8 @@
-"""keelson: a small PySpark-native query library.
+"""keelson: a PySpark-native query library.
 
-The source this project was to take its capabilities from holds a title
-and nothing else, so the library implements one query only: revenue and
-line count per customer region (see ``keelson.plans``). Everything runs
-through the DataFrame API; Catalyst and AQE choose the physical plan.
+Revenue per customer region (``keelson.plans``) and, as an optional
+subpackage, operators for large training corpora (``keelson.llm``).
+Everything runs on Spark; Catalyst and AQE choose the physical plan.
 """
 
-__version__ = "0.1.0"
+__version__ = "0.2.0"

@@ -1,5 +1,5 @@
 """Column expressions, all built from ``pyspark.sql.functions``."""
 
-from keelson.functions.money import MONEY, discounted, discounted_units, money, units_to_money
+from keelson.functions.money import MONEY, discounted, money
 
-__all__ = ["MONEY", "discounted", "discounted_units", "money", "units_to_money"]
+__all__ = ["MONEY", "discounted", "money"]

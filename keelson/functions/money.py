@@ -2,17 +2,10 @@
 
 Prices are stored as doubles. Summing doubles gives a result that depends
 on the order rows arrive in, which changes with partitioning, so amounts
-are made exact before they are summed. The meaning is the SQL one:
-``CAST(price AS DECIMAL(18,2)) * (1 - CAST(discount AS DECIMAL(18,2)))``.
-
-Evaluating that per row costs Java BigDecimal work on every row. Instead
-the row value is carried as an integer count of 1/10,000 units
-(``discounted_units``): when both doubles are exact whole cents (true of
-every stored amount), it is ``cents(price) * (100 - cents(discount))`` in
-64-bit integers, which stays in whole-stage codegen; any other row takes the
-decimal formula above. Units are summed as decimal(38,0), which holds any
-realistic total, and scaled to decimal(38,4) once per result row
-(``units_to_money``).
+are made exact before they are summed: ``CAST(price AS DECIMAL(18,2)) *
+(1 - CAST(discount AS DECIMAL(18,2)))``, a decimal(38,4) that nothing
+narrows. Amounts are whole cents; other doubles are rounded half up, which
+is Spark's cast (another engine may round them differently).
 """
 
 from __future__ import annotations
@@ -21,19 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# Money is decimal(18,2) as in the oracle SQL; the product of
-# two such amounts has scale 4, so a unit is 1/10,000.
+# Fixed value: money is decimal(18,2) as in the oracle SQL.
 MONEY = DecimalType(18, 2)
-UNITS = DecimalType(38, 0)
-PRODUCT = DecimalType(38, 4)
-UNITS_PER_MONEY = 10_000
-
-# Bounds for the integer path: |price| < 1e13 and |discount| < 10 keep
-# cents * (100 - cents) below 1.1e18, inside a signed 64-bit integer, and
-# keep x * 100 close enough to an integer in double precision that rint
-# recovers the exact cent count.
-_MAX_PRICE_CENTS = 1e15
-_MAX_DISCOUNT_CENTS = 1e3
 
 
 def _col(c: str | Column) -> Column:
@@ -48,24 +30,3 @@ def money(col: str | Column) -> Column:
 def discounted(price: str | Column, discount: str | Column) -> Column:
     """``price * (1 - discount)`` in decimals: decimal(38,4), exact."""
     return money(price) * (F.lit(1) - money(discount))
-
-
-def _whole_cents(x: Column, bound: float) -> tuple[Column, Column]:
-    """(cents as double, is x exactly that many cents and within bound)."""
-    cents = F.rint(x * 100)
-    return cents, (cents / 100 == x) & (F.abs(cents) < bound)
-
-
-def discounted_units(price: str | Column, discount: str | Column) -> Column:
-    """``discounted(price, discount)`` times 10,000, as decimal(38,0). Exact."""
-    price, discount = _col(price), _col(discount)
-    p_cents, p_ok = _whole_cents(price, _MAX_PRICE_CENTS)
-    d_cents, d_ok = _whole_cents(discount, _MAX_DISCOUNT_CENTS)
-    integer = p_cents.cast("long") * (F.lit(100) - d_cents.cast("long"))
-    exact = (discounted(price, discount) * UNITS_PER_MONEY).cast(UNITS)
-    return F.when(p_ok & d_ok, integer.cast(UNITS)).otherwise(exact)
-
-
-def units_to_money(units: str | Column) -> Column:
-    """A sum of units back to money with four decimals, decimal(38,4)."""
-    return (_col(units) / F.lit(UNITS_PER_MONEY)).cast(PRODUCT)

@@ -21,8 +21,7 @@ FIXED_CONF = {
 # the side it measured is under the threshold, splits skewed join
 # partitions and merges small ones. Broadcasts chosen before execution from
 # file-size estimates are off, since compressed files can expand far beyond
-# their estimate; every broadcast is then either measured by AQE or hinted
-# after an explicit probe (keelson.operators.broadcast_if_bounded).
+# their estimate.
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

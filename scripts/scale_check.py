@@ -5,8 +5,7 @@ copies of lineitem, orders and customer with keys offset per copy, so every
 copy joins only to itself, once as they are and once skewed: a third of the
 line items pointed at one order and a third of the orders at one customer. Spark's size-based
 broadcasts are turned off, as they would be off for tables of this size
-on a cluster; nation and region are still broadcast through the measured
-hint.
+on a cluster.
 
 Prints one JSON line per plan and data set: warm wall time, whether both
 plans returned the same rows (the script fails if not), and from
@@ -28,7 +27,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from keelson.eventlog import task_stats  # noqa: E402
+from scripts.eventlog import task_stats  # noqa: E402
 from keelson.plans import REVENUE_BY_REGION_SQL, revenue_by_region  # noqa: E402
 from keelson.session import local_session  # noqa: E402
 from keelson.sources import read_table  # noqa: E402

@@ -13,8 +13,8 @@ import re
 
 import pytest
 
-from keelson.operators import broadcast_if_bounded, measure
-from keelson.plans import revenue_by_region
+from keelson.plans import revenue_by_region, revenue_by_region_of
+from keelson.sources import read_table
 from tests.conftest import TESTDATA
 
 SF = f"{TESTDATA}/sf0.01"
@@ -63,68 +63,50 @@ def test_scans_read_only_needed_columns(spark):
 def test_one_shuffle_per_key_at_scale(spark, large_tables):
     text = plan_text(revenue_by_region(spark, SF))
     shuffles = re.findall(r"Arguments: hashpartitioning\((\w+)#", text)
-    # Each key is shuffled once: the per-order sums keep their partitioning
-    # into the order join, the per-customer sums into the customer join.
-    assert sorted(shuffles) == sorted(["l_orderkey", "o_orderkey", "o_custkey", "c_custkey", "r_name"])
-    assert "SortMergeJoin" in text
+    # Each key is shuffled once: the sums keep their partitioning into the
+    # join that follows them.
+    sums = ["l_orderkey", "o_custkey", "c_nationkey", "n_regionkey", "r_name"]
+    assert sorted(shuffles) == sorted([*sums, "o_orderkey", "c_custkey", "n_nationkey", "r_regionkey"])
+    assert "SortMergeJoin" in text and "BroadcastExchange" not in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
 def test_sums_are_partial_before_every_aggregate_shuffle(spark, large_tables):
     text = plan_text(revenue_by_region(spark, SF))
     partial_keys = re.findall(r"HashAggregate.*\n.*\nKeys \[1\]: \[(\w+)#[^\n]*\nFunctions \[2\]: \[partial_", text)
-    assert sorted(partial_keys) == ["l_orderkey", "o_custkey", "r_name"]
+    assert sorted(partial_keys) == sorted(["l_orderkey", "o_custkey", "c_nationkey", "n_regionkey", "r_name"])
 
 
-def test_only_measured_dimensions_are_broadcast(spark, large_tables):
-    text = plan_text(revenue_by_region(spark, SF))
-    broadcast_inputs = re.findall(r"BroadcastExchange\nInput \[\d+\]: \[(\w+)#", text)
-    assert sorted(broadcast_inputs) == ["n_nationkey", "r_regionkey"]
-
-
-def test_guard_broadcasts_small_side(spark, large_tables):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    left = spark.range(1000)
-    joined = left.join(broadcast_if_bounded(small), left.id == small.k)
-    assert "BroadcastHashJoin" in plan_text(joined)
-
-
-def test_guard_refuses_too_many_rows(spark, large_tables):
-    big = spark.range(1001).withColumnRenamed("id", "k")
-    left = spark.range(1000)
-    joined = left.join(broadcast_if_bounded(big, max_rows=1000), left.id == big.k)
-    text = plan_text(joined)
-    assert "BroadcastExchange" not in text and "SortMergeJoin" in text
-
-
-def test_guard_refuses_too_many_bytes(spark, large_tables):
-    wide = spark.range(10).selectExpr("id AS k", "repeat('x', 1000) AS pad")
-    left = spark.range(1000)
-    joined = left.join(broadcast_if_bounded(wide, max_bytes=5000), left.id == wide.k)
-    assert "BroadcastExchange" not in plan_text(joined)
-
-
-def test_probe_of_a_large_input_reads_one_partition(spark):
-    big = spark.range(0, 10_000_000, numPartitions=64)
+def test_building_the_query_starts_no_job(spark):
     sc = spark.sparkContext
-    sc.setJobGroup("probe-test", "probe-test")
+    sc.setJobGroup("build-test", "build-test")
     try:
-        rows, _ = measure(big, max_rows=1000)
+        revenue_by_region(spark, SF)
     finally:
         sc.setJobGroup("other", "other")
-    tracker = sc.statusTracker()
-    tasks = sum(
-        tracker.getStageInfo(stage).numTasks
-        for job in tracker.getJobIdsForGroup("probe-test")
-        for stage in tracker.getJobInfo(job).stageIds
-        if tracker.getStageInfo(stage) is not None
-    )
-    assert rows == 1001
-    assert tasks == 1
-
-
-def test_measure_handles_any_column_name(spark):
-    df = spark.createDataFrame([(1, "x"), (2, None)], "`a.b` int, `c d` string")
-    rows, size = measure(df, max_rows=10)
-    assert rows == 2
-    assert size == len('{"a.b":1,"c d":"x"}') + len('{"a.b":2}')
+    assert list(sc.statusTracker().getJobIdsForGroup("build-test")) == []
+
+
+def test_bucketed_tables_need_no_shuffle_on_the_order_key(spark, large_tables, tmp_path):
+    """lineitem and orders bucketed by order key meet without an exchange, same result."""
+    names = {}
+    for name, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey")):
+        names[name] = f"bucketed_{name}"
+        spark.sql(f"DROP TABLE IF EXISTS {names[name]}")
+        read_table(spark, SF, name).write.bucketBy(8, key).option("path", str(tmp_path / name)).saveAsTable(names[name])
+    try:
+        rest = [read_table(spark, SF, n) for n in ("customer", "nation", "region")]
+        df = revenue_by_region_of(spark.table(names["lineitem"]), spark.table(names["orders"]), *rest)
+        shuffles = re.findall(r"Arguments: hashpartitioning\((\w+)#", plan_text(df))
+        assert "o_custkey" in shuffles and not {"l_orderkey", "o_orderkey"} & set(shuffles)
+        got = sorted((r.r_name, str(r.revenue), r.n_lines) for r in df.collect())
+        assert got == sorted(map(tuple, revenue_by_region(spark, SF).collect()))
+    finally:
+        for name in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_read_table_without_a_declared_schema(spark):
+    df = read_table(spark, SF, "events", "event_id", "user_id")
+    assert df.columns == ["event_id", "user_id"] and df.count() == 10_000
+    assert "text" in read_table(spark, SF, "documents").columns

@@ -16,7 +16,7 @@ import os
 import subprocess
 import sys
 
-from keelson.eventlog import task_stats
+from scripts.eventlog import task_stats
 from tests.conftest import TESTDATA
 
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -1,11 +1,9 @@
-"""Lost work is recomputed to the same result.
-
-Local mode cannot kill an executor, but it can fail tasks: with
-``local[4,4]`` Spark retries a failed task up to four times, re-reading its
-input and re-running its part of the plan, the same recovery path that
-follows an executor loss. Here the first attempt of every line-item scan
-task fails after reading its rows; the retried job must return exactly
-the result of an undisturbed run.
+"""Failed tasks are run again to the same result.
+
+The first attempt of every line-item scan task fails after reading its
+rows (``local[4,4]`` retries a task up to four times); the retried job must return
+exactly the result of an undisturbed run. This covers failed map tasks
+only: shuffle output lost with an executor is not simulated here.
 """
 
 from __future__ import annotations
