@@ -14,11 +14,11 @@ when ``100 * intersection >= 80 * union``.
    subsets of the sets below plus the list entries scanned for those above cost
    least, from exact counts over all sets. Light sets within 0.8 of the boundary stand in the lists
    as well, where heavy ones find them.
-5. Every key (subset or list) links its members to one of them, the pivot, and those pairs are
-   verified exactly on whole sets. The components so far settle most keys: only keys whose
-   members still lie in different components give pairs, and only pairs between components. The last
-   step repeats this until no pair is left, so no reachable pair is missed, yet a group of
-   m near copies costs about m pairs, not m squared.
+5. Every key (subset or list) has a pivot among its members. Each set is verified, exactly and on whole sets,
+   first with the pivot it shares the most keys with, then, in keys whose members still lie in
+   different components, with the pivots of other components, and at last with every member of
+   another component. Most pairs are ruled out before, by 256-byte signatures that bound their difference. No link between components is missed, yet a group of m near
+   copies costs about m pairs, not m squared.
 
 ``links`` gives every link between classes instead, for callers that want pairs.
 
@@ -55,13 +55,14 @@ CELLS = 1 << 22
 HOT_CELLS = 1 << 16
 HOT_IN_TASK = 8  # a cell counts once it is this frequent in a task
 SIZE_CLASSES = 8  # per doubling of the size, for the cost
+PARITY_BITS = 2048  # of the signature that rules out pairs
 
 
 def prefix_length(n: int, c: int) -> int:
     return min(n, n - -(-NUMERATOR * n // DENOMINATOR) + c)
 
 
-PROFILE = "doc_id long, n_shingles long, cls long, cell int, count long"
+PROFILE = "doc_id long, n_shingles long, cls long, parity array<long>, cell int, count long"
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -74,6 +75,16 @@ def class_key(s: np.ndarray) -> int:
     return int(_signed(mix(np.array([total], np.uint64) + np.uint64(len(s))))[0])
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """Per hash bucket whether it holds an odd number of tokens, as bits in 64-bit words.
+
+    Every bucket in which two sets differ holds a token of only one of them, so the differing bits are at most the
+    size of the symmetric difference.
+    """
+    counts = np.bincount((s >> np.uint64(53)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def profile(docs: DataFrame) -> DataFrame:
     """One row per document (size, class key) and one per frequent hash cell of each task."""
     ship(docs.sparkSession)
@@ -87,11 +98,14 @@ def profile(docs: DataFrame) -> DataFrame:
                 if filled := [s for s in sets if len(s)]:
                     counts += np.bincount((np.concatenate(filled) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS).astype(np.uint32)
                 none = pa.nulls(j - i, pa.int32())
+                words_each = PARITY_BITS // 64
+                bits = pa.array(np.concatenate([parity(x) for x in sets]))
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": ids.slice(i, j - i),
                         "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                         "cls": pa.array([class_key(s) if len(s) else None for s in sets], pa.int64()),
+                        "parity": pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1) * words_each, pa.int32()), bits),
                         "cell": none,
                         "count": none.cast(pa.int64()),
                     }
@@ -99,7 +113,7 @@ def profile(docs: DataFrame) -> DataFrame:
         hot = np.flatnonzero(counts >= HOT_IN_TASK)
         none = pa.nulls(len(hot), pa.int64())
         yield pa.RecordBatch.from_pydict(
-            {"doc_id": none, "n_shingles": none, "cls": none, "cell": pa.array(hot, pa.int32()), "count": pa.array(counts[hot].astype(np.int64))}
+            {"doc_id": none, "n_shingles": none, "cls": none, "parity": pa.nulls(len(hot), pa.list_(pa.int64())), "cell": pa.array(hot, pa.int32()), "count": pa.array(counts[hot].astype(np.int64))}
         )
 
     return stored(docs.mapInArrow(scan, PROFILE), "join-profile")
@@ -192,7 +206,7 @@ def boundary(shared: DataFrame) -> int:
 
 @dataclass
 class Candidates:
-    """keys: (key, cls, n, heavy, scan), a row for each class in each key; reps: (cls, doc_id)."""
+    """keys: (key, cls, n, heavy, scan), a row for each class in each key; reps: (cls, doc_id, n, parity)."""
 
     docs: DataFrame
     profiled: DataFrame
@@ -206,9 +220,9 @@ def candidates(docs: DataFrame) -> Candidates:
     profiled = profile(own)
     documents = profiled.where("cell is null")
     # one document stands for its class: the least doc_id, or a null one if there is no other
-    reps = stored(documents.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "join-reps")
+    reps = stored(documents.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("parity").alias("parity")), "join-reps")
     heads = prefixes(own, cell_levels(profiled))
-    heads = heads.join(reps, heads["doc_id"].eqNullSafe(reps["doc_id"]) & (heads["cls"] == reps["cls"]), "left_semi")
+    heads = heads.join(reps.select("cls", "doc_id"), heads["doc_id"].eqNullSafe(reps["doc_id"]) & (heads["cls"] == reps["cls"]), "left_semi")
     tokens = heads.select("cls", "n", F.posexplode("tokens").alias("pos", "token"))
     by_token = W.partitionBy("token")
     listed = tokens.withColumn("listed", F.count(F.lit(1)).over(by_token)).where("listed > 1")
@@ -231,17 +245,21 @@ def candidates(docs: DataFrame) -> Candidates:
 
 
 def verified(c: Candidates, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that link, with intersection and union, on whole sets."""
-    pairs = stored(pairs, "join-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(c.reps, "cls")
+    """The stored pairs (a, b) of classes that link, with intersection and union, on whole sets."""
+    # 9 * (symmetric difference) <= n + m is the same condition; the signatures bound the difference from below
+    x, y = c.reps.selectExpr("cls as a", "n as na", "parity as pa"), c.reps.selectExpr("cls as b", "n as nb", "parity as pb")
+    differ = F.expr("aggregate(zip_with(pa, pb, (x, y) -> bit_count(x ^ y)), 0, (s, v) -> s + v)")
+    near = pairs.join(x, "a").join(y, "b").where(differ * (NUMERATOR + DENOMINATOR) <= (F.col("na") + F.col("nb")) * (DENOMINATOR - NUMERATOR))
+    near = stored(near.select("a", "b"), "join-near")
+    wanted = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(c.reps.select("cls", "doc_id"), "cls")
     sets = stored(sets_of(c.docs, wanted), "join-sets")
     left = sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("items").alias("ia"))
     right = sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("items").alias("ib"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("ia", "ib")))
+    both = near.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("ia", "ib")))
     either = F.col("na") + F.col("nb") - F.col("both")
     linked = both.select("a", "b", "both", either.alias("either")).where(F.col("both") * DENOMINATOR >= F.col("either") * NUMERATOR)
     out = stored(linked, "join-links")
-    dropped(pairs, sets)
+    dropped(sets, near)
     return out
 
 
@@ -250,33 +268,64 @@ def links(docs: DataFrame) -> DataFrame:
     c = candidates(docs)
     x, y = c.keys.alias("x"), c.keys.alias("y")
     pairs = x.join(y, F.expr("x.key = y.key") & _to_check("x", "y"))
-    found = verified(c, pairs.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct())
-    a, b = c.reps.toDF("a", "doc_a"), c.reps.toDF("b", "doc_b")
+    found = verified(c, stored(pairs.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct(), "join-pairs"))
+    a, b = c.reps.selectExpr("cls as a", "doc_id as doc_a"), c.reps.selectExpr("cls as b", "doc_id as doc_b")
     return found.join(a, "a").join(b, "b").select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b"), "both", "either")
 
 
+def _spokes(keys: DataFrame, pivot: DataFrame) -> DataFrame:
+    """(a, b, shared): members of keys with the pivot of the key, b being the member."""
+    met = keys.join(pivot, "key").where(F.col("cls") != F.col("a")).where(_similar_sizes(F.col("n"), F.col("na")))
+    return met.groupBy("a", F.col("cls").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+
+
+def _pivots(keys: DataFrame, *more: str) -> DataFrame:
+    """One member per key, the same for all keys that have it as their least hash."""
+    chosen = keys.groupBy("key").agg(F.min_by(F.struct("cls", "n", *more), F.xxhash64("cls")).alias("p"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    return chosen.select("key", F.col("p.cls").alias("a"), F.col("p.n").alias("na"), *[F.col(f"p.{x}").alias(f"{x}_a") for x in more])
+
+
+def _pairs(spokes: DataFrame) -> DataFrame:
+    return spokes.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _open(keys: DataFrame, root: DataFrame) -> DataFrame:
+    """The rows, with their component, of keys whose members lie in several components."""
+    placed = keys.join(root, F.col("cls") == F.col("v"), "left").select("key", "cls", "n", "heavy", "scan", F.coalesce("root", "cls").alias("root"))
+    placed = stored(placed, "join-placed")
+    several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+    out = stored(placed.join(several.select("key"), "key", "left_semi"), "join-open")
+    dropped(placed)
+    return out
+
+
 def joined(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of docs (doc_id, text)."""
     c = candidates(docs)
-    pivot = c.keys.groupBy("key").agg(F.min_by(F.struct("cls", "n"), F.xxhash64("cls")).alias("p"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    pivot = stored(pivot.select("key", "p.cls", "p.n").toDF("key", "a", "na"), "join-pivots")
-    spokes = c.keys.join(pivot, "key").where(F.col("cls") != F.col("a")).where(_similar_sizes(F.col("n"), F.col("na")))
-    spokes = spokes.select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b")).distinct()
-    found = verified(c, spokes)
+    # first every class with the pivot that it shares the most keys with
+    best = _spokes(c.keys, stored(_pivots(c.keys), "join-pivots")).groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
+    tried = stored(_pairs(best), "join-pairs")
+    found = verified(c, tried)
     root = components(found)
 
-    # what the pivots left open: keys with members of several components
-    placed = c.keys.join(root, F.col("cls") == F.col("v"), "left").select("key", "cls", "n", "heavy", "scan", F.coalesce("root", "cls").alias("root"))
-    placed = stored(placed, "join-placed")
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo != hi and m > 2")
-    rest = stored(placed.join(open_keys.select("key"), "key", "left_semi"), "join-open")
+    # then the pivots of keys that are still open, where they lie in another component
+    rest = _open(c.keys, root)
+    pivot = stored(_pivots(rest, "root"), "join-pivots")
+    spokes = _spokes(rest.join(pivot.select("key", "root_a"), "key").where("root != root_a").select("key", "cls", "n"), pivot)
+    second = stored(_pairs(spokes).join(tried, ["a", "b"], "left_anti"), "join-pairs")
+    found = stored(found.union(verified(c, second)), "join-found")
+    root = components(found)
+
+    # at last all pairs that the keys leave between components
+    rest = _open(rest.drop("root"), root)
     x, y = rest.alias("x"), rest.alias("y")
     pairs = x.join(y, F.expr("x.key = y.key and x.root != y.root") & _to_check("x", "y"))
     pairs = pairs.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
-    more = verified(c, pairs)
+    third = stored(pairs.join(tried.union(second), ["a", "b"], "left_anti"), "join-pairs")
+    more = verified(c, third)
     if not more.isEmpty():
-        root = components(found.select("a", "b").union(more.select("a", "b")))
-    dropped(placed, rest, pivot)
+        root = components(found.union(more))
+    dropped(rest, pivot, tried, second, third)
 
     # from classes to documents: the least doc_id of all classes of a component
     of = c.reps.join(root, F.col("cls") == F.col("v"), "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
@@ -287,6 +336,17 @@ def joined(docs: DataFrame) -> DataFrame:
     return documents.join(of, "cls", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is the least of its component; of repeated rows one."""
+    found = stored(joined(docs), "join-result")
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    kept = stored(kept, "join-kept")
+    stay = kept.select(F.col("doc_id").alias("kept_id"))
+    rows = docs.join(stay, docs["doc_id"].eqNullSafe(stay["kept_id"]), "left_semi")
+    # a doc_id that several rows share: rows with equal texts are one document
+    return rows if kept.where("rows > 1").isEmpty() else rows.dropDuplicates(["doc_id", "text"])
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents under shingle similarity."""
     return joined(read(spark, sf_dir, "documents"))
