@@ -105,34 +105,40 @@ def confirmed(kind: str, m: Column) -> Column:
 
 def _spans(text: Column, order: int, kind: Kind) -> Column:
     """array<struct<s, k, e, kind, score>> of the kept spans of one kind."""
-    between = F.split(text, kind.pattern, -1)
-    matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    steps = F.transform(
-        matches,
-        lambda m, i: F.struct(
-            m.alias("m"),
-            F.length(m).alias("n"),
-            F.length(F.get(between, i)).alias("gap"),
-            F.concat(F.right(F.get(between, i), F.lit(CONTEXT)), F.lit(" "), F.left(F.get(between, i + 1), F.lit(CONTEXT))).alias("near"),
-        ),
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<m:string,s:int,e:int,near:string>>").alias("out"))
+    # one struct in an array, so that both scans run once and not again for every match
+    scans = F.array(F.struct(F.split(text, kind.pattern, -1).alias("between"), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("matches")))
+
+    def steps(scan: Column) -> Column:
+        between = scan["between"]
+        return F.transform(
+            scan["matches"],
+            lambda m, i: F.struct(
+                m.alias("m"),
+                F.length(m).alias("n"),
+                F.length(F.get(between, i)).alias("gap"),
+                F.concat(F.right(F.get(between, i), F.lit(CONTEXT)), F.lit(" "), F.left(F.get(between, i + 1), F.lit(CONTEXT))).alias("near"),
+            ),
+        )
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,near:string>>").alias("out"))
     placed = F.aggregate(
-        steps,
+        F.flatten(F.transform(scans, steps)),
         start,
         lambda a, x: F.struct(
             (a["at"] + x["gap"] + x["n"]).alias("at"),
-            F.concat(
-                a["out"],
-                F.array(F.struct(x["m"].alias("m"), (a["at"] + x["gap"]).alias("s"), (a["at"] + x["gap"] + x["n"]).alias("e"), x["near"].alias("near"))),
-            ).alias("out"),
+            # only confirmed spans are carried along: most long lists of matches are numbers
+            F.when(
+                confirmed(kind.name, x["m"]),
+                F.concat(a["out"], F.array(F.struct((a["at"] + x["gap"]).alias("s"), (a["at"] + x["gap"] + x["n"]).alias("e"), x["near"].alias("near")))),
+            )
+            .otherwise(a["out"])
+            .alias("out"),
         ),
         lambda a: a["out"],
     )
-    held = F.filter(placed, lambda x: confirmed(kind.name, x["m"]))
     score = lambda x: F.lit(kind.score) + F.when(F.lower(x["near"]).rlike(rf"\b(?:{kind.words})"), F.lit(CONTEXT_BONUS)).otherwise(0.0)
     scored = F.transform(
-        held,
+        placed,
         lambda x: F.struct(
             x["s"].alias("s"), F.lit(order).alias("k"), x["e"].alias("e"), F.lit(kind.name).alias("kind"),
             F.least(score(x), F.lit(1.0)).alias("score"),
