@@ -13,7 +13,7 @@ shuffle; a hot source is spread over its sizes) and every Newton step is a small
 aggregation over it. Rounding needs no sort either: a document has one hash
 number ``u``, gets ``floor(rate)`` copies, and one more where ``u - frac(rate)`` is
 below the source's threshold; two histogram passes over all documents find the threshold
-at which the taken words meet the target. No window or group ever holds a source's documents:
+at which the taken words meet the target, and one document per source is turned to close the rest. No window or group ever holds a source's documents:
 windows run over sources, and over at most 4,096 bins of a source.
 
 DataFrame functions only: no Python runs on executors.
@@ -197,17 +197,34 @@ def solve_mix(sized_docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
     # the bin in which the goal falls goes in whole if that ends nearer to it
     keep = (F.col("target") - F.col("below")) >= F.col("words") / 2
     cut = second.select("k", "bin1", (F.col("bin") + keep.cast("int")).alias("bin2"))
-    out = stored(of_source.join(cut, "k", "left"), "mix-cut")
-    dropped(goals, hist, of_source, first)
+    cut = stored(of_source.join(cut, "k", "left"), "mix-cut")
+
+    # what is left of the gap goes to one document per source, rounded the other way, whose size fits it best
+    rounded = _rounded(sized_docs, cut, cap)
+    got = rounded.groupBy("k", "target").agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
+    gap = stored(got.select("k", (F.col("target") - F.col("got")).alias("gap")), "mix-gap")
+    off = F.abs(F.col("size") - F.abs("gap"))
+    turns = ((F.col("gap") > 0) & (F.col("copies") < F.col("rate"))) | ((F.col("gap") < 0) & (F.col("copies") > F.col("rate")))
+    fits = rounded.join(gap, "k").where(turns & (off < F.abs("gap"))).groupBy("k", "gap")
+    fits = fits.agg(F.min(F.struct(off.alias("off"), "doc_id", "size")).alias("m"))
+    fits = fits.select("k", F.col("m.doc_id").alias("turn_id"), F.col("m.size").alias("turn_size"), F.signum("gap").cast("long").alias("turn"))
+    out = stored(cut.join(fits, "k", "left"), "mix-turn")
+    dropped(goals, hist, of_source, first, cut, gap)
     return out
 
 
-def with_copies(sized_docs: DataFrame, of_source: DataFrame, cap: float = CAP) -> DataFrame:
-    """Documents with the columns of their source, rate and copies."""
+def _rounded(sized_docs: DataFrame, of_source: DataFrame, cap: float) -> DataFrame:
+    """Rated documents with the copies that the thresholds of their source give."""
     extra = F.col("open") & ((F.col("bin") < F.col("bin1")) | ((F.col("bin") == F.col("bin1")) & (F.col("fine") < F.col("bin2"))))
     return _rated(sized_docs, of_source, cap).withColumn("copies", F.col("base") + F.coalesce(extra, F.lit(False)).cast("long"))
 
 
+def with_copies(sized_docs: DataFrame, of_source: DataFrame, cap: float = CAP) -> DataFrame:
+    """Documents with the columns of their source, rate and copies."""
+    turned = F.col("doc_id").eqNullSafe(F.col("turn_id")) & (F.col("size") == F.col("turn_size"))
+    return _rounded(sized_docs, of_source, cap).withColumn("copies", F.col("copies") + F.when(turned, F.col("turn")).otherwise(F.lit(0)))
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """doc_id, source, size, source_size, target, rate, copies, taken for every row of docs."""
     named = stored(sized(docs), "mix-sizes")
