@@ -5,7 +5,7 @@ when ``100 * intersection >= 80 * union``.
 
 1. Documents with equal sets form a class; from here on classes are joined.
 2. Tokens of a set are ordered rare first (by the counts of a fixed-size table of
-   hash cells, then by hash). If two sets link, their first
+   hash cells, then by those of their words, then by hash). If two sets link, their first
    ``n - ceil(0.8 n) + c`` tokens share at least ``c``; only those travel. Sets under 4
    tokens link with equal sets only.
 3. Tokens that one class alone has are dropped; the rest form inverted lists.
@@ -24,7 +24,7 @@ when ``100 * intersection >= 80 * union``.
 
 Scale. The text is read once to count and once to emit tokens; tokens are shuffled once, by
 token. Texts of the classes in some candidate pair are shuffled to be verified. Rows are a few numbers or one set.
-The hot-cell table is at most 64 Ki cells, whatever the input.
+The tables of frequent cells are at most 64 Ki cells each, whatever the input.
 
 Edge cases. Null or wordless texts have an empty set: n_shingles 0, no link, their own
 component. Rows with a null doc_id are returned with the component of their class, or null.
@@ -36,6 +36,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import exp
 
 import numpy as np
 import pyarrow as pa
@@ -51,9 +52,11 @@ WORDS_IN_SHINGLE = 5
 NUMERATOR, DENOMINATOR = 4, 5  # the similarity, 0.8
 SUBSET = 2
 LEAST = 4  # smaller sets link with equal ones only
-CELLS = 1 << 22
-HOT_CELLS = 1 << 16
-HOT_IN_TASK = 8  # a cell counts once it is this frequent in a task
+CELLS = 1 << 24  # of shingles, by hash
+WORD_CELLS = 1 << 20
+HOT_CELLS = 1 << 16  # of each kind that are kept
+NOISE = 5000  # cells per task that chance may make look frequent
+WORD_IN_TASK = 4  # a word counts once it is this frequent in a task
 SIZE_CLASSES = 8  # per doubling of the size, for the cost
 PARITY_BITS = 2048  # of the signature that rules out pairs
 
@@ -85,18 +88,32 @@ def parity(s: np.ndarray) -> np.ndarray:
     return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
+def frequent(tokens: int) -> int:
+    """The count at which a shingle cell of a task with so many tokens stands out from chance."""
+    mean = tokens / CELLS
+    term, tail, k = exp(-mean), 1 - exp(-mean), 1
+    while k < 2 or tail * CELLS > NOISE:
+        term *= mean / k
+        tail -= term
+        k += 1
+    return k
+
+
 def profile(docs: DataFrame) -> DataFrame:
     """One row per document (size, class key) and one per frequent hash cell of each task."""
     ship(docs.sparkSession)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CELLS, np.uint32)
+        counts, of_words, tokens = np.zeros(CELLS, np.uint32), np.zeros(WORD_CELLS, np.int64), 0
         for batch in batches:
             ids, text = batch.column("doc_id"), batch.column("text")
             for i, j, data, offsets in chunks(text):
-                sets = Words(data, offsets, lower=True).shingle_sets(WORDS_IN_SHINGLE)
-                if filled := [s for s in sets if len(s)]:
-                    counts += np.bincount((np.concatenate(filled) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS).astype(np.uint32)
+                words = Words(data, offsets, lower=True)
+                sets = words.shingle_sets(WORDS_IN_SHINGLE)
+                cells, times = np.unique(np.concatenate(sets) % np.uint64(CELLS), return_counts=True)
+                counts[cells.astype(np.int64)] += times.astype(np.uint32)
+                of_words += np.bincount((words.hashes % np.uint64(WORD_CELLS)).astype(np.int64), minlength=WORD_CELLS)
+                tokens += int(times.sum())
                 none = pa.nulls(j - i, pa.int32())
                 words_each = PARITY_BITS // 64
                 bits = pa.array(np.concatenate([parity(x) for x in sets]))
@@ -110,43 +127,61 @@ def profile(docs: DataFrame) -> DataFrame:
                         "count": none.cast(pa.int64()),
                     }
                 )
-        hot = np.flatnonzero(counts >= HOT_IN_TASK)
+        hot, common = np.flatnonzero(counts >= frequent(tokens)), np.flatnonzero(of_words >= WORD_IN_TASK)
+        counts = np.concatenate([counts[hot].astype(np.int64), of_words[common]])
+        hot = np.concatenate([hot, common + CELLS])
         none = pa.nulls(len(hot), pa.int64())
         yield pa.RecordBatch.from_pydict(
-            {"doc_id": none, "n_shingles": none, "cls": none, "parity": pa.nulls(len(hot), pa.list_(pa.int64())), "cell": pa.array(hot, pa.int32()), "count": pa.array(counts[hot].astype(np.int64))}
+            {"doc_id": none, "n_shingles": none, "cls": none, "parity": pa.nulls(len(hot), pa.list_(pa.int64())), "cell": pa.array(hot, pa.int32()), "count": pa.array(counts)}
         )
 
     return stored(docs.mapInArrow(scan, PROFILE), "join-profile")
 
 
-def cell_levels(profiled: DataFrame) -> np.ndarray:
-    """The HOT_CELLS most frequent cells, as a byte per cell: log2 of the count, 0 for the rest."""
-    top = (
-        profiled.where("cell is not null").groupBy("cell").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "cell").limit(HOT_CELLS).toPandas()
-    )
-    levels = np.zeros(CELLS, np.uint8)
-    levels[top["cell"].to_numpy(np.int64)] = np.log2(top["count"].to_numpy(np.float64)).astype(np.uint8)
-    return levels
+def cell_levels(profiled: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For shingles and for words the HOT_CELLS most frequent cells, with the log2 of their counts."""
+    counted = profiled.where("cell is not null").groupBy("cell").agg(F.sum("count").alias("count"))
+    out = []
+    for kind in (F.col("cell") < CELLS, F.col("cell") >= CELLS):
+        top = counted.where(kind).orderBy(F.desc("count"), "cell").limit(HOT_CELLS).toPandas()
+        cells = top["cell"].to_numpy(np.int64)
+        out.append((cells - CELLS * (cells >= CELLS), np.log2(top["count"].to_numpy(np.float64)).astype(np.uint8)))
+    return out
+
+
+def dense(levels: tuple[np.ndarray, np.ndarray], size: int) -> np.ndarray:
+    out = np.zeros(size, np.uint8)
+    out[levels[0]] = levels[1]
+    return out
 
 
 TOKENS = "doc_id long, cls long, n int, tokens array<long>"
 
 
-def prefixes(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """The first tokens of every set of at least LEAST tokens, rare first."""
+def prefixes(docs: DataFrame, levels: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """The first tokens of every set of at least LEAST tokens, rare first.
+
+    The order is by how frequent the token's cell is, then by how frequent its words are together, then by
+    hash: a function of the token alone, so it is the same in all sets.
+    """
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = shared.value
+        of_cell, of_word = dense(shared.value[0], CELLS), dense(shared.value[1], WORD_CELLS)
         for batch in batches:
             ids, text = batch.column("doc_id"), batch.column("text")
             for i, j, data, offsets in chunks(text):
                 rows, keys, sizes, heads = [], [], [], []
-                for row, s in enumerate(Words(data, offsets, lower=True).shingle_sets(WORDS_IN_SHINGLE)):
+                words = Words(data, offsets, lower=True)
+                grams, _ = words.grams(WORDS_IN_SHINGLE)
+                each = np.append(of_word[(words.hashes % np.uint64(WORD_CELLS)).astype(np.int64)].astype(np.int64), np.zeros(WORDS_IN_SHINGLE, np.int64))
+                common = sum(each[j : j + len(grams)] for j in range(WORDS_IN_SHINGLE))
+                level = of_cell[(grams % np.uint64(CELLS)).astype(np.int64)].astype(np.int64) * 1024 + common
+                for row, (a, b) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)):
+                    s, at = np.unique(grams[a : max(a, b - WORDS_IN_SHINGLE + 1)], return_index=True)
                     if len(s) >= LEAST:
-                        level = levels[(s % np.uint64(CELLS)).astype(np.int64)]
-                        order = np.argsort(level, kind="stable")[: prefix_length(len(s), SUBSET)]
+                        order = np.argsort(level[a:b][at], kind="stable")[: prefix_length(len(s), SUBSET)]
                         rows.append(row)
                         keys.append(class_key(s))
                         sizes.append(len(s))
