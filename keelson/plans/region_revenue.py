@@ -38,7 +38,7 @@ from keelson.sources import read_table
 ORACLE_SQL = """
 SELECT r_name,
        CAST(CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))
-                     * (1 - CAST(l_discount AS DECIMAL(18,2)))) AS DECIMAL(38,4)) AS VARCHAR) AS revenue,
+                     * (1 - CAST(l_discount AS DECIMAL(18,2)))) AS DECIMAL(38,4)) AS STRING) AS revenue,
        CAST(COUNT(*) AS BIGINT) AS n_lines
 FROM lineitem
 JOIN orders   ON l_orderkey  = o_orderkey

@@ -41,7 +41,7 @@ flaky = lineitem.repartition(4).mapInPandas(fail_first_attempt, lineitem.schema)
 tables = [read_table(spark, sf, n, *c) for n, c in (
     ("orders", ("o_orderkey", "o_custkey")), ("customer", ("c_custkey", "c_nationkey")),
     ("nation", ("n_nationkey", "n_regionkey")), ("region", ("r_regionkey", "r_name")))]
-retried = sorted([list(r) for r in revenue_by_region_of(flaky, *tables).collect()])
+retried = sorted([[r.r_name, str(r.revenue), r.n_lines] for r in revenue_by_region_of(flaky, *tables).collect()])
 spark.stop()
 print(json.dumps({"clean": clean, "retried": retried}))
 """
