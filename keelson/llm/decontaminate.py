@@ -7,6 +7,11 @@ for itself, so one threshold fits all items. Items at or above it are verified:
 sequences of the item's question (all but its last sentence) and of its answer (the last
 sentence) must stand in the passage or next to it.
 
+Long items. An item of more than ``PIECE`` words is indexed whole and also in pieces of that length, a new one
+every half of that, each normalised by its own score; any entry at the threshold makes the item a candidate. A piece fits into a
+passage wherever it stands, so an item copied word for word is found whatever its length. Question and answer
+are looked for in a span that holds the whole item, on whichever side of the passage it goes on.
+
 Search. Postings are in item order, cut into blocks with the block's largest impact. ``search`` is
 document-at-a-time block-max WAND: the pivot is the first item at which the lists' maxima reach
 the threshold; if the maxima of its blocks do not, all lists skip past the nearest block end.
@@ -40,6 +45,7 @@ from keelson.llm.words import Words, chunks
 
 PASSAGE = 96
 STRIDE = PASSAGE // 2
+PIECE = PASSAGE - STRIDE  # any span of so many words stands in one passage
 THRESHOLD = 0.6  # of an item's own score
 COMMON = 0.3
 OVERLAP = 0.6  # of the 3-word sequences of the question, and of the answer
@@ -80,21 +86,33 @@ def share(part: np.ndarray, near: np.ndarray) -> float:
     return len(own & other) / len(own)
 
 
+def entries(words: list[int]) -> Iterator[list[int]]:
+    """What an item is indexed as: all its words, and its pieces if it is long."""
+    yield words
+    if len(words) > PIECE:
+        for a in range(0, len(words) - PIECE, PIECE // 2):
+            yield words[a : a + PIECE]
+        yield words[-PIECE:]
+
+
 class Index:
-    """BM25 postings of items, normalised by each item's own score."""
+    """BM25 postings of items and their pieces, each normalised by its own score; frequencies are those of whole items."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        bags = [(i, t, Counter(hashes_of(t).tolist())) for i, t in items if t]
-        bags = [x for x in bags if x[2]]
-        self.ids = [x[0] for x in bags]
-        self.texts = [x[1] for x in bags]
-        mean = sum(sum(b.values()) for _, _, b in bags) / max(1, len(bags))
-        seen = Counter(t for _, _, b in bags for t in b)
-        weight = {t: log(1 + (len(bags) - n + 0.5) / (n + 0.5)) for t, n in seen.items()}
+        whole = [(i, t, hashes_of(t).tolist()) for i, t in items if t]
+        whole = [x for x in whole if x[2]]
+        self.texts = [x[1] for x in whole]
+        self.sizes = [len(x[2]) for x in whole]
+        mean = sum(self.sizes) / max(1, len(whole))
+        seen = Counter(t for _, _, words in whole for t in set(words))
+        weight = {t: log(1 + (len(whole) - n + 0.5) / (n + 0.5)) for t, n in seen.items()}
+        bags = [(at, Counter(words)) for at, x in enumerate(whole) for words in entries(x[2])]
+        self.texts_at = [at for at, _ in bags]
+        self.ids = [whole[at][0] for at, _ in bags]
         lists: dict[int, list[tuple[int, float]]] = {}
         rare_terms, rare_items, rare_impacts = [], [], []
         self.aside = np.zeros(len(bags))
-        for at, (_, _, bag) in enumerate(bags):
+        for at, (_, bag) in enumerate(bags):
             size = sum(bag.values())
             raw = {t: weight[t] * n * (K1 + 1) / (n + K1 * (1 - B + B * size / mean)) for t, n in bag.items()}
             total = sum(raw.values())
@@ -143,7 +161,7 @@ class Index:
         return list(zip(row.tolist(), (hit - base[row]).tolist(), strict=True))
 
     def search(self, terms: set[int], threshold: float) -> list[tuple[int, float]]:
-        """(item, score) of all items at or above the threshold, by block-max WAND."""
+        """(entry, score) of all entries at or above the threshold, by block-max WAND."""
         cursors = [[int(self.lists[t][0][0]), 0, t] for t in terms if t in self.lists]
         out = []
 
@@ -213,16 +231,27 @@ def verified_hits(ix: Index, column: pa.Array, threshold: float, overlap: float)
     parts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for i, _, data, offsets in chunks(column):
         words = plain_words(data, offsets)
+        spans: dict[tuple[int, int, int], tuple[float, float]] = {}
         for row, passage in ix.may_match(words, threshold):
             a, b = int(words.first[row]), int(words.first[row + 1])
             begin = a + passage * STRIDE
-            near = words.hashes[max(a, begin - PASSAGE) : min(b, begin + 2 * PASSAGE)]
-            for item, score in ix.search(set(words.hashes[begin : min(b, begin + PASSAGE)].tolist()), threshold):
+            best: dict[int, tuple[float, int]] = {}  # text -> score and entry
+            for entry, score in ix.search(set(words.hashes[begin : min(b, begin + PASSAGE)].tolist()), threshold):
+                item = ix.texts_at[entry]
+                best[item] = max(best.get(item, (0.0, entry)), (score, entry))
+            for item, (score, entry) in best.items():
                 if item not in parts:
                     parts[item] = tuple(hashes_of(x) for x in question_and_answer(ix.texts[item]))
-                q, r = (share(p, near) for p in parts[item])
+                # a long item may start or end its length away; passages close together look at one span
+                reach = max(PASSAGE, ix.sizes[item])
+                step = STRIDE if reach == PASSAGE else reach
+                first = a + (begin - a) // step * step
+                if (row, item, first) not in spans:
+                    near = words.hashes[max(a, first - reach) : min(b, first + (step if step > STRIDE else 0) + PASSAGE + reach)]
+                    spans[row, item, first] = tuple(share(p, near) for p in parts[item])
+                q, r = spans[row, item, first]
                 if q >= overlap and r >= overlap:
-                    yield i + row, ix.ids[item], score, q, r, passage
+                    yield i + row, ix.ids[entry], score, q, r, passage
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:

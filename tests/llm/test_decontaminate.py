@@ -77,3 +77,25 @@ def test_whole_table(spark):
     want = {(i, k) for i, t in docs for k, x in items if x in t}
     got = {(r.doc_id, r.item_id) for r in op9_decontaminate(spark, sf).collect()}
     assert want <= got and len(got - want) <= 0.05 * len(want) + 1
+
+
+def test_long_items(spark):
+    """Items of any length are found word for word, wherever they stand; a single piece of one is not enough."""
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randrange(4, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    sizes = (60, 200, 500, 2000)
+    items = [(n, f"{prose(n - 6)}. {prose(6)}.") for n in sizes] + [(n + 1, prose(n)) for n in sizes]
+    docs, want = [], set()
+    for item, text in items:
+        for before in (0, 7, 47, 48, 95, 400):
+            want.add((len(docs), item))
+            docs.append((len(docs), f"{prose(before)} {text} {prose(200)}"))
+        words = text.split()
+        if len(words) > 60:
+            docs.append((len(docs), f"{prose(50)} {' '.join(words[60:120])} {prose(50)}"))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = matches(df, bench).collect()
+    assert {(x.doc_id, x.item_id) for x in got} == want and len(got) == len(want)
+    assert {x.doc_id for x in clean_documents(df, bench).collect()} == {i for i, _ in docs} - {i for i, _ in want}
