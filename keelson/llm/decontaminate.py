@@ -20,8 +20,10 @@ Most passages need no search: per item the impacts of its commonest terms, up to
 if the other terms it shares with some item weigh at least threshold - (what was set aside).
 That bound is computed for all passages of a chunk at once.
 
-Scale. The index is broadcast, at most ``SHARD_ITEMS`` items at a time: a larger benchmark is
-searched shard after shard, each by one pass over the documents. No shuffle but for
+Scale. The index is broadcast, about ``SHARD_ITEMS`` items and pieces at a time: a larger benchmark is
+searched shard after shard, each by one pass over the documents. Item number, mean length and document
+frequencies are counted once over the whole benchmark, and each shard gets those of its own terms, so scores and hits do not depend on
+the number of shards. No shuffle but for these counts and
 the hits, which are grouped per document and item.
 
 Edge cases. Null or wordless items and documents never match. Repeated document rows
@@ -33,14 +35,14 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from math import log
+from math import fsum, log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm.common import read, ship
+from keelson.llm.common import read, ship, stored
 from keelson.llm.words import Words, chunks
 
 PASSAGE = 96
@@ -51,7 +53,7 @@ COMMON = 0.3
 OVERLAP = 0.6  # of the 3-word sequences of the question, and of the answer
 K1, B = 1.2, 0.75
 BLOCK = 64
-SHARD_ITEMS = 20_000
+SHARD_ITEMS = 20_000  # with their pieces
 
 # letters and digits stay, in lower case; ASCII punctuation parts words
 _PLAIN = np.arange(256, dtype=np.uint8)
@@ -98,14 +100,15 @@ def entries(words: list[int]) -> Iterator[list[int]]:
 class Index:
     """BM25 postings of items and their pieces, each normalised by its own score; frequencies are those of whole items."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], counts: tuple[int, int, dict[int, int]] | None = None):
+        """``counts``: number of items, their words, and items per term, if ``items`` are only a part of the benchmark."""
         whole = [(i, t, hashes_of(t).tolist()) for i, t in items if t]
         whole = [x for x in whole if x[2]]
         self.texts = [x[1] for x in whole]
         self.sizes = [len(x[2]) for x in whole]
-        mean = sum(self.sizes) / max(1, len(whole))
-        seen = Counter(t for _, _, words in whole for t in set(words))
-        weight = {t: log(1 + (len(whole) - n + 0.5) / (n + 0.5)) for t, n in seen.items()}
+        n_items, n_words, seen = counts or (len(whole), sum(self.sizes), Counter(t for _, _, words in whole for t in set(words)))
+        mean = n_words / max(1, n_items)
+        weight = {t: log(1 + (n_items - n + 0.5) / (n + 0.5)) for t, n in seen.items()}
         bags = [(at, Counter(words)) for at, x in enumerate(whole) for words in entries(x[2])]
         self.texts_at = [at for at, _ in bags]
         self.ids = [whole[at][0] for at, _ in bags]
@@ -115,7 +118,7 @@ class Index:
         for at, (_, bag) in enumerate(bags):
             size = sum(bag.values())
             raw = {t: weight[t] * n * (K1 + 1) / (n + K1 * (1 - B + B * size / mean)) for t, n in bag.items()}
-            total = sum(raw.values())
+            total = fsum(raw.values())
             for t in sorted(raw, key=lambda t: (-seen[t], t)):
                 impact = raw[t] / total
                 lists.setdefault(t, []).append((at, impact))
@@ -199,7 +202,8 @@ class Index:
                         seek(c, max(after, pivot) + 1)
                 continue
             if cursors[0][0] == pivot:
-                total = sum(float(self.lists[c[2]][1][c[1]]) for c in cursors[: n + 1] if c[0] == pivot)
+                # exact, so that the order of the lists does not show in the last bits
+                total = fsum(float(self.lists[c[2]][1][c[1]]) for c in cursors[: n + 1] if c[0] == pivot)
                 if total >= threshold - 1e-9:
                     out.append((pivot, total))
                 for c in cursors[: n + 1]:
@@ -215,15 +219,40 @@ class Index:
 HITS = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, passage long"
 
 
-def indexes(benchmark: DataFrame) -> Iterator:
-    """Broadcast indexes of at most about SHARD_ITEMS items each, together all items."""
+def counted(items: DataFrame) -> DataFrame:
+    """item_id, text, words, entries and distinct terms of the items that have words."""
+    ship(items.sparkSession)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [hashes_of(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "item_id": batch.column("item_id"),
+                    "text": batch.column("text"),
+                    "words": pa.array(map(len, words), pa.int64()),
+                    "entries": pa.array([sum(1 for _ in entries(w)) for w in words], pa.int64()),
+                    "terms": pa.array([np.unique(w).view(np.int64) for w in words], pa.list_(pa.int64())),
+                }
+            )
+
+    return items.mapInArrow(scan, "item_id long, text string, words long, entries long, terms array<long>").where("words > 0")
+
+
+def indexes(benchmark: DataFrame, shard_items: int | None = None) -> Iterator:
+    """Broadcast indexes of about ``shard_items`` (SHARD_ITEMS) items and pieces each, together all items."""
     spark = benchmark.sparkSession
-    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    n = items.count()
-    shards = 1 if n <= SHARD_ITEMS else -(-n * 5 // (SHARD_ITEMS * 4))
+    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
+    items = stored(counted(items), "benchmark-items")
+    total = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("words"), F.lit(0)).alias("words"), F.coalesce(F.sum("entries"), F.lit(0)).alias("entries")).first()
+    seen = stored(items.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")), "benchmark-terms")
+    limit = shard_items or SHARD_ITEMS
+    shards = 1 if total.entries <= limit else -(-total.entries * 5 // (limit * 4))
     for shard in range(shards):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
-        yield spark.sparkContext.broadcast(Index(sorted((r.item_id, r.text) for r in part.collect())))
+        own = seen.join(part.select(F.explode("terms").alias("term")).distinct(), "term").collect()
+        counts = (total.n, total.words, {r.term % (1 << 64): r.n for r in own})
+        yield spark.sparkContext.broadcast(Index(sorted((r.item_id, r.text) for r in part.select("item_id", "text").collect()), counts))
 
 
 def verified_hits(ix: Index, column: pa.Array, threshold: float, overlap: float) -> Iterator[tuple]:
@@ -254,7 +283,9 @@ def verified_hits(ix: Index, column: pa.Array, threshold: float, overlap: float)
                     yield i + row, ix.ids[entry], score, q, r, passage
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+def matches(
+    docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, shard_items: int | None = None
+) -> DataFrame:
     """Verified hits, one row per document and item, with the best passage's figures."""
     ship(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -272,7 +303,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
         return run
 
     found = None
-    for index in indexes(benchmark):
+    for index in indexes(benchmark, shard_items):
         hits = own.mapInArrow(searcher(index), HITS)
         found = hits if found is None else found.union(hits)
     return found.groupBy("doc_id", "item_id").agg(
@@ -281,7 +312,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
     )
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+def clean_documents(
+    docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, shard_items: int | None = None
+) -> DataFrame:
     """The rows of docs without a verified hit, with all their columns."""
     ship(docs.sparkSession)
 
@@ -294,7 +327,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, threshold: float = TH
 
         return run
 
-    for index in indexes(benchmark):
+    for index in indexes(benchmark, shard_items):
         docs = docs.mapInArrow(keeper(index), docs.schema)
     return docs
 

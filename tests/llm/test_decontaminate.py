@@ -99,3 +99,23 @@ def test_long_items(spark):
     got = matches(df, bench).collect()
     assert {(x.doc_id, x.item_id) for x in got} == want and len(got) == len(want)
     assert {x.doc_id for x in clean_documents(df, bench).collect()} == {i for i, _ in docs} - {i for i, _ in want}
+
+
+def test_shards_give_equal_hits(spark):
+    """One index and many: the same documents, items and figures, with scores on both sides of the threshold."""
+    r = random.Random(10)
+    vocabulary = [f"v{i}" for i in range(400)]
+    prose = lambda n: [vocabulary[min(399, int(r.expovariate(0.01)))] for _ in range(n)]
+    items = [(i, prose(r.choice((8, 20, 40, 70, 150)))) for i in range(60)]
+    docs = []
+    for i in range(400):
+        words = list(items[r.randrange(60)][1])
+        for _ in range(r.randrange(1 + len(words) // 2)):
+            words[r.randrange(len(words))] = r.choice(vocabulary)
+        docs.append((i, " ".join([*prose(r.randrange(80)), *words, *prose(60)])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    one, many = (sorted(map(tuple, matches(df, bench, overlap=0.1, shard_items=n).collect())) for n in (None, 40))
+    assert one == many and len(one) > 300
+    kept = [sorted(x.doc_id for x in clean_documents(df, bench, shard_items=n).collect()) for n in (None, 40)]
+    assert kept[0] == kept[1]
