@@ -86,3 +86,17 @@ def test_awkward_docs_and_table(spark):
     assert find_pii(df.limit(0)).count() == 0
     sf = f"{TESTDATA}/sf0.01"
     check(op3_pii(spark, sf).collect(), {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()})
+
+
+def test_iban_before_words_and_numbers(spark):
+    """What follows an IBAN, after a space, is not taken into it; letters and the length of the country end it."""
+    ibans = [
+        "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19", "NL91ABNA0417164300", "FR14 2004 1010 0505 0001 3M02 606",
+        "NO93 8601 1117 947", "CH9300762011623852957", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "PL61 1090 1014 0000 0712 1981 2874", "ES9121000418450200051332",
+    ]
+    after = ["Please pay", "BIC COBADEFFXXX", "I paid", "2024", "X", "ok", "", "DE89 3704 0044 0532 0130 00"]
+    texts = [f"IBAN {i} {a}" for i in ibans for a in after] + ["DE89 3704 0044 0532 0130 0", "DE893704004405320130001", "PO12 3456 DE89 3704 0044 0532 0130 00"]
+    rows = find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {r.doc_id: [texts[r.doc_id][f.s : f.e] for f in r.findings if f.kind == "iban"] for r in rows}
+    want = [[i, a] if a.startswith("DE") else [i] for i in ibans for a in after] + [[], [], ["DE89 3704 0044 0532 0130 00"]]
+    assert [found[i] for i in range(len(texts))] == want
