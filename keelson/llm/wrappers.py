@@ -22,7 +22,8 @@ is one row per task. Its pages meet its paths in a join with stored tables on bo
 
 Edge cases. Null or empty html, and pages without article text, give an empty string. A null or
 broken url is the host "". A page on which the host's paths find nothing is read by a wrapper of its own. Truncated pages
-and unclosed elements end where the page ends. Repeated rows each get a result. An empty table
+and unclosed elements end where the page ends; an unclosed ``option`` ends with its sibling or parent, and only the elements
+whose content HTML reads as text (``RAW``) run on to their own end tag. Repeated rows each get a result. An empty table
 gives an empty result. Other columns are ignored.
 """
 
@@ -47,11 +48,14 @@ FIRST_CHILDREN = 200  # children compared by alignment at a time; longer lists i
 
 # Elements by what they are in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math object textarea select option title head canvas audio video".split())
+RAW = frozenset("script style noscript iframe textarea title".split())  # text up to the end tag, or to the end of the page
+FOREIGN = frozenset("svg math".split())  # <x/> is closed inside; HTML blocks end it
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr output q rp rt ruby s samp small span strike strong sub sup time tt u var".split()
 )
-NOT_ARTICLE = frozenset("nav footer aside form button fieldset dialog menu".split()) | RAW
+NOT_ARTICLE = frozenset(
+    "nav footer aside form button fieldset dialog menu head template svg math object select datalist optgroup option canvas audio video".split()
+) | RAW
 NOT_ARTICLE_WORDS = frozenset(
     (
         "ad ads advert advertisement adverts banner sponsor sponsored promo promotion sidebar side menu nav navbar navigation navigator breadcrumb breadcrumbs "
@@ -64,7 +68,7 @@ ARTICLE_PARTS = frozenset("article post entry content story".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
-CLOSES_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
+CLOSES_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "optgroup": {"option", "optgroup"}, "p": {"p"}}
 LISTS = frozenset("ul ol dl table menu".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S)
@@ -140,11 +144,20 @@ def blocks(page: str) -> Iterator[tuple[str | None, bool | str, int]]:
         if name == "br":
             text.append(" ")
             continue
-        if name in RAW and name != "head":
+        if name in RAW:
             yield from flush()
             if not m[3].endswith("/"):
                 skip = name
             continue
+        foreign = FOREIGN & set(stack)
+        if (foreign or name in FOREIGN) and m[3].endswith("/"):
+            yield from flush()
+            continue
+        if foreign and name in CLOSES_P and "foreignobject" not in stack:
+            yield from flush()
+            while foreign & set(stack):
+                stack.pop()
+                yield None, False, 0
         label = _label(name, m[3])
         if name in INLINE and not label.endswith("!"):
             links += name == "a"

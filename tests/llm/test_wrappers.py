@@ -62,3 +62,15 @@ def test_whole_table(spark):
         cut = re.search(r"<article>(.*?)(</article>|\Z)", pages[r.page_id], re.S)[1]
         blocks = [" ".join(html.unescape(re.sub(r"<br>|<[^>]*>", lambda m: " " if m[0] == "<br>" else "", x)).split()) for x in re.split(r"</?(?:p|h1)>", cut)]
         assert r.text == "\n\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
+
+
+def test_end_tags_left_out():
+    """Elements without text content of their own do not run on to the end of the page."""
+    article = "<article><p>one</p><p>two</p></article>"
+    for before in (
+        "<datalist><option value=a><option value=b></datalist>", "<select><optgroup><option>a<optgroup><option>b</select>", "<form><select><option>a</form>",
+        "<div><object data=x></div>", "<div><video src=x>no video</div>", "<div><template><p>t</div>", "<svg><path d='M0 0'/><g><path/></svg>", "<svg><path d='M0 0'>",
+        "<header><audio><canvas></header>", "<svg/><math/>",
+    ):
+        assert alone(f"<body>{before}{article}<p>end</body>") == "one\n\ntwo", before
+    assert alone("<article><p>a <svg><title>t</title><text>no</text></svg> b</p><select><option>x</select><p>c</article>") == "a\n\nb\n\nc"
