@@ -5,11 +5,13 @@ space), hashed, and counted per host (``source``): in how many different documen
 a line stand? Copies of one text count once. Lines in more than
 ``max(MIN_DOCS, SHARE of the host's different documents)`` are taken out, and a document that loses more than
 half of its words with them is depleted and rejected. The base rules of the contract reject first.
+``without_lines`` returns the documents without these lines; the counts of removed lines and words and the digest of what
+is left are taken from the texts it makes.
 
-Scale. The text is read once; from then on a document is its counts and its distinct
-lines as (hash, words). Line counts are combined before the shuffle; a line
-that stands in a third of all documents is one row per task. Marked lines are joined back
-with stored tables on both sides, which AQE splits where a line is hot.
+Scale. The text is read twice. First a document becomes its distinct lines as hashes. Line counts are
+combined before the shuffle; a line that stands in a third of all documents is one row per task. Marked lines are joined back
+with stored tables on both sides, which AQE splits where a line is hot, and gathered per (host, text); by that key they meet
+the texts, which are shuffled once unless AQE broadcasts the marked side; it splits the copies of one text.
 
 Edge cases. Null and wordless texts have no words: all counts 0, base_failed, not kept. A
 null source is a host of its own. Repeated rows each get a result; they count once
@@ -23,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from keelson.llm.common import read, ship, stored
+from keelson.llm.common import dropped, read, ship, stored
 from keelson.llm.words import Words, chunks, mix
 
 LEAST_WORDS = 50
@@ -43,30 +45,35 @@ _STARTS_CHAR[0x80:0xC0] = False
 _IN_WORD = _STARTS_CHAR.copy()
 _IN_WORD[[0x20, *range(9, 14)]] = False
 
-PROFILE = (
-    "row long, doc_id long, host string, text_key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-    "n_repeat_words long, lines array<struct<key: long, words: int>>"
-)
+LINES = "host string, text_key long, keys array<long>"
 
 
 def _key(data: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
-def line_counts(text: bytes) -> tuple[int, dict[int, int]]:
-    """(lines equal to an earlier one, words per normalised line) of one text."""
-    seen: set[bytes] = set()
-    again, words = 0, {}
+def line_key(line: bytes) -> int | None:
+    """The hash of a normalised line; None if it has no words."""
+    parts = line.translate(_NORMAL).split()
+    return _key(b" ".join(parts)) if parts else None
+
+
+def again(text: bytes) -> int:
+    """Lines with words that equal an earlier one."""
+    lines = [x for x in text.split(b"\n") if x.split()]
+    return len(lines) - len(set(lines))
+
+
+def cut(text: bytes, marked: set[int]) -> tuple[bytes, int]:
+    """The text without its marked lines, and how many different ones there were."""
+    left, gone = [], set()
     for line in text.split(b"\n"):
-        parts = line.translate(_NORMAL).split()
-        if not parts:
-            continue
-        if line in seen:
-            again += 1
-        seen.add(line)
-        key = _key(b" ".join(parts))
-        words[key] = words.get(key, 0) + len(parts)
-    return again, words
+        key = line_key(line)
+        if key in marked:
+            gone.add(key)
+        else:
+            left.append(line)
+    return b"\n".join(left), len(gone)
 
 
 def repeated_words(words: Words) -> np.ndarray:
@@ -84,71 +91,97 @@ def repeated_words(words: Words) -> np.ndarray:
     return np.bincount(rows, covered, len(words.first) - 1).astype(np.int64)
 
 
-def profile(docs: DataFrame) -> DataFrame:
-    """Counts and distinct lines of every document."""
+def _rows(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """doc (a struct of columns of docs), host, text, and the key of the text."""
+    host = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
+    own = docs.select(F.struct(*[docs[c] for c in columns]).alias("doc"), host.alias("host"), F.col("text").cast("string").alias("text"))
+    return own.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+
+
+def distinct_lines(rows: DataFrame) -> DataFrame:
+    """Stored (host, text_key, keys): the hashes of the different lines of every document."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offsets in chunks(batch.column("text")):
+                raw, bounds = data.tobytes(), offsets.tolist()
+                keys = [{line_key(x) for x in raw[a:b].split(b"\n")} - {None} for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "host": batch.column("host").slice(i, j - i),
+                        "text_key": batch.column("text_key").slice(i, j - i),
+                        "keys": pa.array(map(list, keys), pa.list_(pa.int64())),
+                    }
+                )
+
+    return stored(rows.select("host", "text_key", "text").mapInArrow(scan, LINES), "rules-lines")
+
+
+def marked_lines(rows: DataFrame, min_docs: int, share: float) -> DataFrame:
+    """Stored (host, text_key, marked): the hashes of the lines above the limits, for texts that have such lines."""
+    found = distinct_lines(rows)
+    lines = found.select("host", "text_key", F.explode("keys").alias("key"))
+    hosts = found.select("host", "text_key").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("docs"))
+    per_line = lines.distinct().groupBy("host", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_docs)
+    above = stored(per_line.join(hosts, "host").where(F.col("n") > F.col("docs") * share).select("host", "key"), "rules-above")
+    out = stored(lines.join(above, ["host", "key"]).groupBy("host", "text_key").agg(F.collect_set("key").alias("marked")), "rules-marked")
+    dropped(found, above)
+    return out
+
+
+def removed(docs: DataFrame, columns: list[str], min_docs: int, share: float) -> DataFrame:
+    """doc (a struct of columns), the text that is left, and the counts of every row of docs."""
     ship(docs.sparkSession)
+    rows = _rows(docs, columns)
+    met = rows.join(marked_lines(rows, min_docs, share), ["host", "text_key"], "left").select("doc", "text", "marked")
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines_removed", "n_words_removed")
+    schema = StructType([met.schema["doc"], StructField("left", StringType()), *[StructField(c, LongType()) for c in counts]])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            ids, hosts, text = batch.column("doc_id"), batch.column("host"), batch.column("text")
+            text, marked = batch.column("text"), batch.column("marked")
             for i, j, data, offsets in chunks(text):
                 words = Words(data, offsets)
-                bounds = offsets.tolist()
-                raw = data.tobytes()
-                again, keys, counts, sizes, whole = [], [], [], [0], []
-                for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                    dup, found = line_counts(raw[a:b])
-                    again.append(dup)
-                    keys.extend(found)
-                    counts.extend(found.values())
-                    sizes.append(len(keys))
-                    whole.append(_key(raw[a:b]))
+                raw, bounds = data.tobytes(), offsets.tolist()
+                left, dups, lines, less = [], [], [], []
+                for at, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+                    own, gone, fewer = raw[a:b], 0, 0
+                    dups.append(again(own))
+                    if marked[i + at].is_valid:
+                        own, gone = cut(own, set(marked[i + at].as_py()))
+                        fewer = len(raw[a:b].split()) - len(own.split())
+                    left.append(own if text[i + at].is_valid else None)
+                    lines.append(gone)
+                    less.append(fewer)
                 run = np.zeros((2, len(data) + 1), np.int64)
                 np.cumsum(_IN_WORD[data], out=run[0, 1:])
                 np.cumsum(_SYMBOL[data], out=run[1, 1:])
                 chars, symbols = (r[offsets[1:]] - r[offsets[:-1]] for r in run)
-                lines = pa.StructArray.from_arrays([pa.array(keys, pa.int64()), pa.array(counts, pa.int32())], ["key", "words"])
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "row": pa.array(np.arange(row, row + j - i)),
-                        "doc_id": ids.slice(i, j - i),
-                        "host": hosts.slice(i, j - i),
-                        "text_key": pa.array(whole, pa.int64()),
-                        "n_words": pa.array(np.diff(words.first)),
-                        "word_chars": pa.array(chars),
-                        "n_symbols": pa.array(symbols),
-                        "n_dup_lines": pa.array(again, pa.int64()),
-                        "n_repeat_words": pa.array(repeated_words(words)),
-                        "lines": pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), lines),
-                    }
+                made = (np.diff(words.first), chars, symbols, dups, repeated_words(words), lines, less)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc").slice(i, j - i), pa.array(left, pa.binary()).cast(pa.string()), *[pa.array(x, pa.int64()) for x in made]],
+                    names=["doc", "left", *counts],
                 )
-                row += j - i
 
-    own = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("host"),
-        F.col("text").cast("string").alias("text"),
-    )
-    return stored(own.mapInArrow(scan, PROFILE), "rules-profile")
+    return met.mapInArrow(scan, schema)
+
+
+def without_lines(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
+    """All rows of docs with all their columns, the text without the lines above the limits."""
+    found = removed(docs, [c for c in docs.columns if c != "text"], min_docs, share)
+    return found.select(*[F.col("left").alias("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns])
 
 
 def rules(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED) -> DataFrame:
-    """The counts, base verdict and final verdict for every row of docs (doc_id, text, source)."""
-    found = profile(docs)
-    lines = found.select("row", "host", "text_key", F.explode("lines").alias("l")).select("row", "host", "text_key", "l.key", "l.words")
-    hosts = found.select("host", "text_key").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("docs"))
-    per_line = lines.select("host", "key", "text_key").distinct().groupBy("host", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_docs)
-    above = stored(per_line.join(hosts, "host").where(F.col("n") > F.col("docs") * share).select("host", "key"), "rules-above")
-    lost = lines.join(above, ["host", "key"]).groupBy("row").agg(F.sum("words").alias("n_words_removed"), F.count(F.lit(1)).alias("n_lines_removed"))
-    lost = stored(lost, "rules-lost")
+    """The counts, base verdict and final verdict for every row of docs (doc_id, text, source), and the digest of what is left of its text."""
+    found = removed(docs, ["doc_id"], min_docs, share)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    gone = F.coalesce("n_words_removed", F.lit(0))
-    return found.join(lost, "row", "left").select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    return found.select(
+        F.col("doc")["doc_id"].cast("long").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"),
-        (~failed & (gone <= F.col("n_words") * depleted)).alias("kept"),
-        F.coalesce("n_lines_removed", F.lit(0)).cast("long").alias("n_lines_removed"),
-        gone.cast("long").alias("n_words_removed"),
+        (~failed & (F.col("n_words_removed") <= F.col("n_words") * depleted)).alias("kept"),
+        "n_lines_removed", "n_words_removed",
+        F.sha2(F.coalesce("left", F.lit("")), 256).alias("left_sha256"),
     )
 
 

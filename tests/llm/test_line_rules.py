@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 
-from keelson.llm.line_rules import ORACLE_SQL, op8_line_rules, rules
+from keelson.llm.line_rules import ORACLE_SQL, op8_line_rules, rules, without_lines
 from tests.conftest import TESTDATA, duckdb_on
 from tests.llm.helpers import awkward_docs, words
 
@@ -50,3 +51,24 @@ def test_depleted_documents(spark):
     rows = {r.doc_id: r for r in rules(spark.createDataFrame(docs, "doc_id long, source string, text string")).collect()}
     assert sorted(i for i, r in rows.items() if not r.kept) == list(range(20))
     assert all(rows[i].n_words_removed == 60 and not rows[i].base_failed for i in range(20))
+
+
+def test_lines_are_taken_out(spark):
+    """The texts without the lines above the limits; the query's counts and digests are those of these texts."""
+    line = " ".join(f"shared{i}" for i in range(20))
+    own = lambda i, n: " ".join(f"own{i}x{j}" for j in range(n))
+    docs = [(i, "a", f"{own(i, 30)}\n{line.upper() if i % 2 else line}  \n\n{own(i, 3)}\n{line}", i) for i in range(20)]
+    docs += [(100, "b", f"{own(100, 30)}\n{line}", 1), (101, None, None, 2), (102, "a", "", 3), (0, "a", docs[0][2], 4)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string, key int")
+    want = {(i, k): f"{own(i, 30)}\n\n{own(i, 3)}" if i < 20 else t for i, _, t, k in docs}
+    got = without_lines(df)
+    assert got.columns == df.columns
+    rows = got.collect()
+    assert {(r.doc_id, r.key): r.text for r in rows} == want and len(rows) == len(docs)
+    for r in rules(df).collect():
+        text = next(t for (i, _), t in want.items() if i == r.doc_id)
+        assert r.left_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+        assert (r.n_lines_removed, r.n_words_removed) == ((1, 40) if r.doc_id < 20 else (0, 0))
+    many = df.union(spark.createDataFrame([(1000 + i, "a", own(1000 + i, 3), 0) for i in range(500)], df.schema))
+    assert line in without_lines(many).where("doc_id = 0").first().text  # 20 of 521 are not 5%
+    assert line not in without_lines(many, share=0.0).where("doc_id = 0").first().text
