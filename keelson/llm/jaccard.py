@@ -20,7 +20,9 @@ when ``100 * intersection >= 80 * union``.
    another component. Most pairs are ruled out before, by 256-byte signatures that bound their difference. No link between components is missed, yet a group of m near
    copies costs about m pairs, not m squared.
 
-``links`` gives every link between classes instead, for callers that want pairs.
+That is ``joined``, for callers that need components only. The query is ``counted``: it verifies every candidate
+pair of classes, as ``links`` does, and returns for each document how many others it links with, each class counting as
+many as it has documents; its components follow from the same links.
 
 Scale. The text is read once to count and once to emit tokens; tokens are shuffled once, by
 token. Texts of the classes in some candidate pair are shuffled to be verified. Rows are a few numbers or one set.
@@ -298,16 +300,48 @@ def verified(c: Candidates, pairs: DataFrame) -> DataFrame:
     return out
 
 
+def class_links(c: Candidates) -> DataFrame:
+    """Every link between classes: a, b, both, either; stored."""
+    x, y = c.keys.alias("x"), c.keys.alias("y")
+    pairs = x.join(y, F.expr("x.key = y.key") & _to_check("x", "y"))
+    pairs = stored(pairs.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct(), "join-pairs")
+    found = verified(c, pairs)
+    dropped(pairs)
+    return found
+
+
 def links(docs: DataFrame) -> DataFrame:
     """Every link between documents with different sets: a and b (least doc_ids of their classes), both, either."""
     c = candidates(docs)
-    x, y = c.keys.alias("x"), c.keys.alias("y")
-    pairs = x.join(y, F.expr("x.key = y.key") & _to_check("x", "y"))
-    found = verified(c, stored(pairs.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct(), "join-pairs"))
+    found = class_links(c)
     a, b = c.reps.selectExpr("cls as a", "doc_id as doc_a"), c.reps.selectExpr("cls as b", "doc_id as doc_b")
     return found.join(a, "a").join(b, "b").select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b"), "both", "either")
 
 
+def counted(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and n_links, the number of other rows it links with, for every row of docs."""
+    c = candidates(docs)
+    found = class_links(c)
+    sizes = stored(c.profiled.where("cls is not null").groupBy("cls").agg(F.count(F.lit(1)).alias("rows")), "join-sizes")
+    ends = found.select("a", "b").union(found.select("b", "a"))
+    linked = ends.join(sizes.select(F.col("cls").alias("b"), "rows"), "b").groupBy("a").agg(F.sum("rows").alias("linked"))
+    # the members of a class link with each other
+    each = sizes.join(linked, F.col("cls") == F.col("a"), "left").select("cls", (F.col("rows") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+    placed = _placed(c, components(found)).join(stored(each, "join-counts"), "cls", "left")
+    documents = c.profiled.where("cell is null")
+    return documents.join(placed, "cls", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+    )
+
+
+def _placed(c: Candidates, root: DataFrame) -> DataFrame:
+    """(cls, component_id): the least doc_id of all classes of a component."""
+    of = c.reps.join(root, F.col("cls") == F.col("v"), "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
+    of = stored(of, "join-of")
+    least = stored(of.groupBy("root").agg(F.min("doc_id").alias("component_id")), "join-least")
+    return stored(of.join(least, "root").select("cls", "component_id"), "join-components")
+
+
 def _spokes(keys: DataFrame, pivot: DataFrame) -> DataFrame:
     """(a, b, shared): members of keys with the pivot of the key, b being the member."""
     met = keys.join(pivot, "key").where(F.col("cls") != F.col("a")).where(_similar_sizes(F.col("n"), F.col("na")))
@@ -362,11 +396,7 @@ def joined(docs: DataFrame) -> DataFrame:
         root = components(found.union(more))
     dropped(rest, pivot, tried, second, third)
 
-    # from classes to documents: the least doc_id of all classes of a component
-    of = c.reps.join(root, F.col("cls") == F.col("v"), "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
-    of = stored(of, "join-of")
-    least = stored(of.groupBy("root").agg(F.min("doc_id").alias("component_id")), "join-least")
-    of = stored(of.join(least, "root").select("cls", "component_id"), "join-components")
+    of = _placed(c, root)
     documents = c.profiled.where("cell is null")
     return documents.join(of, "cls", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
@@ -383,8 +413,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Components of all documents under shingle similarity."""
-    return joined(read(spark, sf_dir, "documents"))
+    """Components and numbers of links of all documents under shingle similarity."""
+    return counted(read(spark, sf_dir, "documents"))
 
 
 ORACLE_SQL = r"""

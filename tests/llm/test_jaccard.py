@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from keelson.llm.jaccard import ORACLE_SQL, joined, links, one_of_each, op2_jaccard_join
+from keelson.llm.jaccard import ORACLE_SQL, counted, joined, links, one_of_each, op2_jaccard_join
 from tests.conftest import TESTDATA, duckdb_on
 from tests.llm.helpers import awkward_docs, words
 
@@ -87,3 +87,21 @@ def test_matches_oracle(spark):
     sf = f"{TESTDATA}/sf0.001"
     got = sorted(map(tuple, op2_jaccard_join(spark, sf).select("doc_id", "n_shingles", "component_id").collect()))
     assert got == sorted(duckdb_on(sf).execute(ORACLE_SQL).fetchall())
+
+
+def test_every_link_is_counted(spark):
+    """Per document the others it links with, exact copies and near ones, also inside a component that is already connected."""
+    texts = chains(6)
+    r = random.Random(6)
+    base = [f"b{i}" for i in range(150)]
+    for _ in range(30):  # a group of different near copies of one text
+        new = list(base)
+        new[r.randrange(150)] = f"n{r.randrange(10**6)}"
+        texts.append((len(texts), " ".join(new)))
+    texts += [(len(texts) + i, texts[i * 7][1]) for i in range(12)] + [(900, ""), (901, None)]
+    sets = [(i, shingles(t)) for i, t in texts]
+    want = {i: sum(bool(a and b) and i != j and 100 * len(a & b) >= 80 * len(a | b) for j, b in sets) for i, a in sets}
+    rows = counted(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {x.doc_id: x.n_links for x in rows} == want and len(rows) == len(texts)
+    assert {x.doc_id: x.component_id for x in rows} == brute(texts)[1]
+    assert max(want.values()) >= 29
