@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from keelson.llm.decontaminate import op9_decontaminate
+from keelson.llm.exact_dedup import ORACLE_SQL as EQUAL_SQL
+from keelson.llm.exact_dedup import op13_exact_dedup
 from keelson.llm.jaccard import ORACLE_SQL as JACCARD_SQL
 from keelson.llm.jaccard import op2_jaccard_join
 from keelson.llm.line_rules import ORACLE_SQL as RULES_SQL
@@ -31,10 +33,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_rules": op8_line_rules,
     "op9_decontaminate": op9_decontaminate,
     "op10_quality_crf": op10_quality_crf,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_jaccard_join": JACCARD_SQL,
     "op7_substring_dedup": REPEATS_SQL,
     "op8_line_rules": RULES_SQL,
+    "op13_exact_dedup": EQUAL_SQL,
 }
