@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from keelson.llm.centroids import ORACLE_SQL as CLUSTERS_SQL
+from keelson.llm.centroids import op12_centroids
 from keelson.llm.decontaminate import op9_decontaminate
 from keelson.llm.exact_dedup import ORACLE_SQL as EQUAL_SQL
 from keelson.llm.exact_dedup import op13_exact_dedup
@@ -33,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_rules": op8_line_rules,
     "op9_decontaminate": op9_decontaminate,
     "op10_quality_crf": op10_quality_crf,
+    "op12_centroids": op12_centroids,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
@@ -40,5 +43,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_jaccard_join": JACCARD_SQL,
     "op7_substring_dedup": REPEATS_SQL,
     "op8_line_rules": RULES_SQL,
+    "op12_centroids": CLUSTERS_SQL,
     "op13_exact_dedup": EQUAL_SQL,
 }
