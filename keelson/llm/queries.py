@@ -11,6 +11,8 @@ from keelson.llm.centroids import op12_centroids
 from keelson.llm.decontaminate import op9_decontaminate
 from keelson.llm.exact_dedup import ORACLE_SQL as EQUAL_SQL
 from keelson.llm.exact_dedup import op13_exact_dedup
+from keelson.llm.filter_audit import ORACLE_SQL as AUDIT_SQL
+from keelson.llm.filter_audit import op11_filter_audit
 from keelson.llm.jaccard import ORACLE_SQL as JACCARD_SQL
 from keelson.llm.jaccard import op2_jaccard_join
 from keelson.llm.line_rules import ORACLE_SQL as RULES_SQL
@@ -35,6 +37,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_rules": op8_line_rules,
     "op9_decontaminate": op9_decontaminate,
     "op10_quality_crf": op10_quality_crf,
+    "op11_filter_audit": op11_filter_audit,
     "op12_centroids": op12_centroids,
     "op13_exact_dedup": op13_exact_dedup,
 }
@@ -43,6 +46,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_jaccard_join": JACCARD_SQL,
     "op7_substring_dedup": REPEATS_SQL,
     "op8_line_rules": RULES_SQL,
+    "op11_filter_audit": AUDIT_SQL,
     "op12_centroids": CLUSTERS_SQL,
     "op13_exact_dedup": EQUAL_SQL,
 }
