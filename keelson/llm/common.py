@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +46,17 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def cleaning(spark: SparkSession) -> Iterator[None]:
+    """Queries that run in here delete their shuffle files when they end: nothing reads them afterwards."""
+    before = spark.conf.get(CLEANUP_KEY, "false")
+    spark.conf.set(CLEANUP_KEY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP_KEY, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back.
 
@@ -53,18 +66,39 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    # once the table is written nothing needs its shuffle files
-    before = spark.conf.get(CLEANUP_KEY, "false")
-    spark.conf.set(CLEANUP_KEY, "true")
-    try:
+    with cleaning(spark):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(CLEANUP_KEY, before)
     back = spark.read.schema(df.schema).parquet(path)
     back._keelson_path = path
     return back
 
 
+class Scratch:
+    """The stored tables of one computation; what is left of them is deleted at its end, also when it fails."""
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop(*self.tables)
+
+    def own(self, table: DataFrame) -> DataFrame:
+        """Take over a stored table."""
+        self.tables.append(table)
+        return table
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        return self.own(stored(df, name))
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that nothing reads any more."""
+        dropped(*tables)
+        self.tables = [t for t in self.tables if not any(t is x for x in tables)]
+
+
 def dropped(*frames: DataFrame) -> None:
     """Delete the files of ``stored`` tables that nothing reads any more."""
     for df in frames:

@@ -3,30 +3,29 @@
 A document's set is its distinct 5-word shingles, as 64-bit hashes. Two sets link
 when ``100 * intersection >= 80 * union``.
 
-1. Documents with equal sets form a class; from here on classes are joined.
-2. Tokens of a set are ordered rare first (by the counts of a fixed-size table of
-   hash cells, then by those of their words, then by hash). If two sets link, their first
-   ``n - ceil(0.8 n) + c`` tokens share at least ``c``; only those travel. Sets under 4
-   tokens link with equal sets only.
+1. Documents with equal sets form a class; from here on classes are joined, each through its document of least doc_id.
+2. Tokens of a set are ordered rare first: by how many classes have them among the first tokens in hash order (exact counts, of which the
+   HOT most frequent are fed back), then by hash. If two sets link, their first ``n - ceil(0.8 n) + c``
+   tokens share at least ``c``; only those travel. Sets under 4 tokens link with equal sets only.
 3. Tokens that one class alone has are dropped; the rest form inverted lists.
 4. Light sets are joined by enumerating the 2-token subsets of their shared tokens,
    heavy ones by scanning the inverted lists. The boundary is the size class at which the
    subsets of the sets below plus the list entries scanned for those above cost
    least, from exact counts over all sets. Light sets within 0.8 of the boundary stand in the lists
    as well, where heavy ones find them.
-5. Every key (subset or list) has a pivot among its members. Each set is verified, exactly and on whole sets,
-   first with the pivot it shares the most keys with, then, in keys whose members still lie in
-   different components, with the pivots of other components, and at last with every member of
-   another component. Most pairs are ruled out before, by 256-byte signatures that bound their difference. No link between components is missed, yet a group of m near
-   copies costs about m pairs, not m squared.
+5. A key (subset or list) of up to DENSE members proposes all its pairs. A denser one proposes its pivot with each other member. Proposed
+   pairs are ruled out by bit signatures that bound their difference, and the rest verified on whole sets.
+6. Dense keys whose members now lie in several components are open: their members meet in blocks, where signatures are compared and only
+   pairs of different components that may link are proposed. After these no link between components is missing.
+7. The number of links needs pairs of one component only. Components of two classes have one; larger ones are compared exactly in
+   blocks, a bit per shared token, and each block sends one count per member, never a row per pair.
 
-That is ``joined``, for callers that need components only. The query is ``counted``: it verifies every candidate
-pair of classes, as ``links`` does, and returns for each document how many others it links with, each class counting as
-many as it has documents; its components follow from the same links.
+``joined`` stops after 6, for callers that need components only; ``counted`` is the query; ``links`` gives the pairs themselves.
 
-Scale. The text is read once to count and once to emit tokens; tokens are shuffled once, by
-token. Texts of the classes in some candidate pair are shuffled to be verified. Rows are a few numbers or one set.
-The tables of frequent cells are at most 64 Ki cells each, whatever the input.
+Scale. The text is read three times: for class keys, for the tokens in their order, and once more for the sets of the
+classes in proposed pairs. Tokens travel once in hash order (a fifth of them) and once in the fed-back order. Rows per key are at most
+DENSE / 2 for each member. Blocks have at most BLOCK members and, on average, BLOCK_TOKENS tokens. The table of frequent tokens has at most
+HOT rows, whatever the input. All stored tables but the result are deleted before it is returned.
 
 Edge cases. Null or wordless texts have an empty set: n_shingles 0, no link, their own
 component. Rows with a null doc_id are returned with the component of their class, or null.
@@ -36,17 +35,15 @@ ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from math import exp
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from keelson.llm.common import dropped, read, ship, stored
+from keelson.llm.common import Scratch, read, ship, shuffle_partitions, stored
 from keelson.llm.components import components
 from keelson.llm.words import Words, chunks, mix
 
@@ -54,22 +51,22 @@ WORDS_IN_SHINGLE = 5
 NUMERATOR, DENOMINATOR = 4, 5  # the similarity, 0.8
 SUBSET = 2
 LEAST = 4  # smaller sets link with equal ones only
-CELLS = 1 << 24  # of shingles, by hash
-WORD_CELLS = 1 << 20
-HOT_CELLS = 1 << 16  # of each kind that are kept
-NOISE = 5000  # cells per task that chance may make look frequent
-WORD_IN_TASK = 4  # a word counts once it is this frequent in a task
+HOT = 1 << 20  # tokens whose counts are fed back, at most
+FREQUENT = 3  # classes that make a token one of them
+LEVELS = 4  # of counts, per doubling
+DENSE = 32  # members up to which a key proposes all pairs
+BLOCK = 1024  # members of a block
+BLOCK_TOKENS = 1 << 21
 SIZE_CLASSES = 8  # per doubling of the size, for the cost
-PARITY_BITS = 2048  # of the signature that rules out pairs
+LEAST_BITS = 2048  # of a signature; longer sets have at least 2 bits for a token
+COLUMNS = 1 << 14  # shared tokens compared at a time
+NO_ID = (1 << 63) - 1  # in place of a null doc_id where one document is chosen
 
 
 def prefix_length(n: int, c: int) -> int:
     return min(n, n - -(-NUMERATOR * n // DENOMINATOR) + c)
 
 
-PROFILE = "doc_id long, n_shingles long, cls long, parity array<long>, cell int, count long"
-
-
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64, copy=False).view(np.int64)
 
@@ -84,141 +81,114 @@ def parity(s: np.ndarray) -> np.ndarray:
     """Per hash bucket whether it holds an odd number of tokens, as bits in 64-bit words.
 
     Every bucket in which two sets differ holds a token of only one of them, so the differing bits are at most the
-    size of the symmetric difference.
+    size of the symmetric difference. The buckets are a power of two; halves folded together are the signature of half the length.
     """
-    counts = np.bincount((s >> np.uint64(53)).astype(np.int64), minlength=PARITY_BITS)
+    bits = max(LEAST_BITS, 1 << (2 * len(s) - 1).bit_length()) if len(s) else LEAST_BITS
+    counts = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
-def frequent(tokens: int) -> int:
-    """The count at which a shingle cell of a task with so many tokens stands out from chance."""
-    mean = tokens / CELLS
-    term, tail, k = exp(-mean), 1 - exp(-mean), 1
-    while k < 2 or tail * CELLS > NOISE:
-        term *= mean / k
-        tail -= term
-        k += 1
-    return k
+def _array(parts: list[np.ndarray], kind: pa.DataType | None = None) -> pa.Array:
+    ends = np.cumsum([0, *map(len, parts)])
+    values = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind or pa.int64()))
+
+
+PROFILE = "rid long, doc_id long, n_shingles long, cls long, parity array<long>, head array<long>"
 
 
 def profile(docs: DataFrame) -> DataFrame:
-    """One row per document (size, class key) and one per frequent hash cell of each task."""
+    """One row per document: size, class key, signature and the first tokens in hash order."""
     ship(docs.sparkSession)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, of_words, tokens = np.zeros(CELLS, np.uint32), np.zeros(WORD_CELLS, np.int64), 0
         for batch in batches:
-            ids, text = batch.column("doc_id"), batch.column("text")
-            for i, j, data, offsets in chunks(text):
-                words = Words(data, offsets, lower=True)
-                sets = words.shingle_sets(WORDS_IN_SHINGLE)
-                cells, times = np.unique(np.concatenate(sets) % np.uint64(CELLS), return_counts=True)
-                counts[cells.astype(np.int64)] += times.astype(np.uint32)
-                of_words += np.bincount((words.hashes % np.uint64(WORD_CELLS)).astype(np.int64), minlength=WORD_CELLS)
-                tokens += int(times.sum())
-                none = pa.nulls(j - i, pa.int32())
-                words_each = PARITY_BITS // 64
-                bits = pa.array(np.concatenate([parity(x) for x in sets]))
+            for i, j, data, offsets in chunks(batch.column("text")):
+                sets = Words(data, offsets, lower=True).shingle_sets(WORDS_IN_SHINGLE)
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "doc_id": ids.slice(i, j - i),
+                        "rid": batch.column("rid").slice(i, j - i),
+                        "doc_id": batch.column("doc_id").slice(i, j - i),
                         "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                         "cls": pa.array([class_key(s) if len(s) else None for s in sets], pa.int64()),
-                        "parity": pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1) * words_each, pa.int32()), bits),
-                        "cell": none,
-                        "count": none.cast(pa.int64()),
+                        "parity": _array([parity(s) for s in sets]),
+                        "head": _array([_signed(s[: prefix_length(len(s), 1)]) if len(s) >= LEAST else np.zeros(0, np.int64) for s in sets]),
                     }
                 )
-        hot, common = np.flatnonzero(counts >= frequent(tokens)), np.flatnonzero(of_words >= WORD_IN_TASK)
-        counts = np.concatenate([counts[hot].astype(np.int64), of_words[common]])
-        hot = np.concatenate([hot, common + CELLS])
-        none = pa.nulls(len(hot), pa.int64())
-        yield pa.RecordBatch.from_pydict(
-            {"doc_id": none, "n_shingles": none, "cls": none, "parity": pa.nulls(len(hot), pa.list_(pa.int64())), "cell": pa.array(hot, pa.int32()), "count": pa.array(counts)}
-        )
-
-    return stored(docs.mapInArrow(scan, PROFILE), "join-profile")
-
-
-def cell_levels(profiled: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For shingles and for words the HOT_CELLS most frequent cells, with the log2 of their counts."""
-    counted = profiled.where("cell is not null").groupBy("cell").agg(F.sum("count").alias("count"))
-    out = []
-    for kind in (F.col("cell") < CELLS, F.col("cell") >= CELLS):
-        top = counted.where(kind).orderBy(F.desc("count"), "cell").limit(HOT_CELLS).toPandas()
-        cells = top["cell"].to_numpy(np.int64)
-        out.append((cells - CELLS * (cells >= CELLS), np.log2(top["count"].to_numpy(np.float64)).astype(np.uint8)))
-    return out
-
 
-def dense(levels: tuple[np.ndarray, np.ndarray], size: int) -> np.ndarray:
-    out = np.zeros(size, np.uint8)
-    out[levels[0]] = levels[1]
-    return out
+    return docs.mapInArrow(scan, PROFILE)
 
 
-TOKENS = "doc_id long, cls long, n int, tokens array<long>"
+def frequent_tokens(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens, ascending, and their levels, from a stored table (token, level): the highest levels that make up HOT rows at most."""
+    rows = sorted(((r.level, r.tokens) for r in counted.groupBy("level").agg(F.count(F.lit(1)).alias("tokens")).collect()), reverse=True)
+    least, total = None, 0
+    for level, tokens in rows:
+        total += tokens
+        if total > HOT:
+            break
+        least = level
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint8)
+    got = counted.where(F.col("level") >= least).toPandas()
+    tokens = got["token"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], got["level"].to_numpy(np.uint8)[order]
 
 
-def prefixes(docs: DataFrame, levels: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """The first tokens of every set of at least LEAST tokens, rare first.
+def prefixes(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(rid, cls, n, tokens): the first tokens of every set of at least LEAST tokens, rare first.
 
-    The order is by how frequent the token's cell is, then by how frequent its words are together, then by
-    hash: a function of the token alone, so it is the same in all sets.
+    The order is by how frequent the token is, then by hash: a function of the token alone, so it is the same in all sets.
     """
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(levels)
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of_cell, of_word = dense(shared.value[0], CELLS), dense(shared.value[1], WORD_CELLS)
+        known, levels = shared.value
         for batch in batches:
-            ids, text = batch.column("doc_id"), batch.column("text")
-            for i, j, data, offsets in chunks(text):
+            for i, j, data, offsets in chunks(batch.column("text")):
                 rows, keys, sizes, heads = [], [], [], []
-                words = Words(data, offsets, lower=True)
-                grams, _ = words.grams(WORDS_IN_SHINGLE)
-                each = np.append(of_word[(words.hashes % np.uint64(WORD_CELLS)).astype(np.int64)].astype(np.int64), np.zeros(WORDS_IN_SHINGLE, np.int64))
-                common = sum(each[j : j + len(grams)] for j in range(WORDS_IN_SHINGLE))
-                level = of_cell[(grams % np.uint64(CELLS)).astype(np.int64)].astype(np.int64) * 1024 + common
-                for row, (a, b) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)):
-                    s, at = np.unique(grams[a : max(a, b - WORDS_IN_SHINGLE + 1)], return_index=True)
+                sets = Words(data, offsets, lower=True).shingle_sets(WORDS_IN_SHINGLE)
+                each = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+                level = np.zeros(len(each), np.uint8)
+                if len(known) and len(each):
+                    at = np.minimum(np.searchsorted(known, each), len(known) - 1)
+                    level = np.where(known[at] == each, levels[at], 0)
+                begin = 0
+                for row, s in enumerate(sets):
+                    own, begin = level[begin : begin + len(s)], begin + len(s)
                     if len(s) >= LEAST:
-                        order = np.argsort(level[a:b][at], kind="stable")[: prefix_length(len(s), SUBSET)]
+                        upto = prefix_length(len(s), SUBSET)
                         rows.append(row)
                         keys.append(class_key(s))
                         sizes.append(len(s))
-                        heads.append(_signed(s[order]))
+                        heads.append(_signed(s[np.argsort(own, kind="stable")[:upto]] if own[:upto].any() else s[:upto]))
                 if rows:
-                    ends = np.cumsum([0, *map(len, heads)])
-                    tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(heads)))
-                    yield pa.RecordBatch.from_pydict(
-                        {"doc_id": ids.slice(i, j - i).take(pa.array(rows)), "cls": pa.array(keys, pa.int64()), "n": pa.array(sizes, pa.int32()), "tokens": tokens}
-                    )
+                    rid = batch.column("rid").slice(i, j - i).take(pa.array(rows))
+                    yield pa.RecordBatch.from_pydict({"rid": rid, "cls": pa.array(keys, pa.int64()), "n": pa.array(sizes, pa.int32()), "tokens": _array(heads)})
 
-    return docs.mapInArrow(scan, TOKENS)
+    return docs.mapInArrow(scan, "rid long, cls long, n int, tokens array<long>")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, n, items) of the documents whose doc_id is in ``wanted``."""
+    """(cls, n, items) of the documents whose rid is in ``wanted``."""
     ship(docs.sparkSession)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column("text")):
                 sets = Words(data, offsets, lower=True).shingle_sets(WORDS_IN_SHINGLE)
-                ends = np.cumsum([0, *map(len, sets)])
-                items = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(_signed(np.concatenate(sets))))
                 yield pa.RecordBatch.from_pydict(
-                    {"cls": pa.array([class_key(s) for s in sets], pa.int64()), "n": pa.array([len(s) for s in sets], pa.int32()), "items": items}
+                    {
+                        "cls": pa.array([class_key(s) if len(s) else None for s in sets], pa.int64()),
+                        "n": pa.array([len(s) for s in sets], pa.int32()),
+                        "items": _array([_signed(s) for s in sets]),
+                    }
                 )
 
-    text = docs.join(wanted.select("doc_id"), docs["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi").select("text")
-    return text.mapInArrow(scan, "cls long, n int, items array<long>").dropDuplicates(["cls"])
-
-
-def _to_check(x: str, y: str) -> Column:
-    """Which members of a key to compare: light pairs meet in subsets, so lists skip them."""
-    return F.expr(f"{x}.cls < {y}.cls and (not {x}.scan or {x}.heavy or {y}.heavy)") & _similar_sizes(F.col(f"{x}.n"), F.col(f"{y}.n"))
+    text = docs.join(wanted.select("rid"), "rid", "left_semi").select("text")
+    return text.mapInArrow(scan, "cls long, n int, items array<long>")
 
 
 def _similar_sizes(a: Column, b: Column) -> Column:
@@ -229,9 +199,10 @@ def boundary(shared: DataFrame) -> int:
     """The largest light size: the cheapest cut over size classes.
 
     Costs in rows: a light set enumerates the pairs of its shared tokens, a heavy one scans the
-    lists of its own. One row per size class comes to the driver, at most 8 per doubling.
+    lists of its own, or meets the pivot of a dense one. One row per size class comes to the driver, at most 8 per doubling.
     """
-    per_set = shared.groupBy("cls", "n").agg(F.count(F.lit(1)).alias("m"), F.sum(F.when(F.col("own"), F.col("listed")).otherwise(0)).alias("scan"))
+    scanned = F.when(F.col("listed") <= DENSE, F.col("listed")).otherwise(2)
+    per_set = shared.groupBy("cls", "n").agg(F.count(F.lit(1)).alias("m"), F.sum(F.when(F.col("own"), scanned).otherwise(0)).alias("scan"))
     bins = per_set.groupBy(F.floor(F.log2("n") * SIZE_CLASSES).cast("int").alias("bin")).agg(
         F.max("n").alias("n"), F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("light"), F.sum("scan").alias("heavy")
     )
@@ -242,29 +213,39 @@ def boundary(shared: DataFrame) -> int:
 
 
 @dataclass
-class Candidates:
-    """keys: (key, cls, n, heavy, scan), a row for each class in each key; reps: (cls, doc_id, n, parity)."""
+class Classes:
+    """docs: (rid, doc_id, text); documents: (rid, doc_id, n_shingles, cls); reps: (cls, rid, n, rows, parity);
+    keys: (key, cls, n, heavy, scan, members), a row for each class in each key."""
 
     docs: DataFrame
-    profiled: DataFrame
+    documents: DataFrame
     reps: DataFrame
     keys: DataFrame
-    light_upto: int
 
 
-def candidates(docs: DataFrame) -> Candidates:
+def classes(docs: DataFrame, scratch: Scratch) -> Classes:
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profiled = profile(own)
-    documents = profiled.where("cell is null")
+    own = own.withColumn("rid", F.coalesce("doc_id", F.lit(NO_ID)))
+    profiled = scratch.stored(profile(own), "join-profile")
     # one document stands for its class: the least doc_id, or a null one if there is no other
-    reps = stored(documents.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("parity").alias("parity")), "join-reps")
-    heads = prefixes(own, cell_levels(profiled))
-    heads = heads.join(reps.select("cls", "doc_id"), heads["doc_id"].eqNullSafe(reps["doc_id"]) & (heads["cls"] == reps["cls"]), "left_semi")
-    tokens = heads.select("cls", "n", F.posexplode("tokens").alias("pos", "token"))
-    by_token = W.partitionBy("token")
-    listed = tokens.withColumn("listed", F.count(F.lit(1)).over(by_token)).where("listed > 1")
+    chosen = profiled.where("cls is not null").groupBy("cls").agg(F.min("rid").alias("rid"), F.count(F.lit(1)).alias("rows"))
+    reps = profiled.where("cls is not null").join(chosen, ["rid", "cls"]).dropDuplicates(["rid", "cls"])
+    reps = scratch.stored(reps.select("cls", "rid", F.col("n_shingles").cast("int").alias("n"), "rows", "parity", "head"), "join-reps")
+    documents = scratch.stored(profiled.select("rid", "doc_id", "n_shingles", "cls"), "join-documents")
+    scratch.drop(profiled)
+
+    heads = reps.select(F.explode("head").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT)
+    levels = scratch.stored(heads.select("token", F.floor(F.log2("n") * LEVELS).cast("int").alias("level")), "join-frequent")
+    hot = frequent_tokens(levels)
+    scratch.drop(levels)
+
+    ordered = prefixes(own, hot).join(reps.select("rid", "cls"), ["rid", "cls"], "left_semi").dropDuplicates(["rid", "cls"])
+    ordered = scratch.stored(ordered.select("cls", "n", "tokens"), "join-heads")
+    listed = ordered.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).cast("int").alias("listed")).where("listed > 1")
     one = F.col("n") - F.ceil(F.col("n") * NUMERATOR / F.lit(DENOMINATOR)) + 1
-    shared = stored(listed.select("token", "cls", "n", "listed", (F.col("pos") < one).alias("own")), "join-lists")
+    tokens = ordered.select("cls", "n", F.posexplode("tokens").alias("pos", "token")).select("cls", "n", "token", (F.col("pos") < one).alias("own"))
+    shared = scratch.stored(tokens.join(listed, "token"), "join-lists")
+    scratch.drop(ordered)
     upto = boundary(shared)
 
     light = shared.where(F.col("n") <= upto).groupBy("cls", "n").agg(F.sort_array(F.collect_set("token")).alias("t")).where("size(t) > 1")
@@ -273,139 +254,300 @@ def candidates(docs: DataFrame) -> Candidates:
             F.flatten(F.transform("t", lambda x, i: F.transform(F.slice(F.col("t"), i + 2, F.size("t")), lambda y: F.xxhash64(x, y))))
         ).alias("key"),
         "cls", "n", F.lit(False).alias("heavy"), F.lit(False).alias("scan"),
-    )
+    )
     scanned = shared.where(F.col("own") & (F.col("n") >= int(upto * NUMERATOR / DENOMINATOR)))
     lists = scanned.select(F.col("token").alias("key"), "cls", "n", (F.col("n") > upto).alias("heavy"), F.lit(True).alias("scan"))
-    keys = stored(subsets.union(lists), "join-keys")
-    dropped(shared)
-    return Candidates(own, profiled, reps, keys, upto)
-
-
-def verified(c: Candidates, pairs: DataFrame) -> DataFrame:
-    """The stored pairs (a, b) of classes that link, with intersection and union, on whole sets."""
-    # 9 * (symmetric difference) <= n + m is the same condition; the signatures bound the difference from below
-    x, y = c.reps.selectExpr("cls as a", "n as na", "parity as pa"), c.reps.selectExpr("cls as b", "n as nb", "parity as pb")
-    differ = F.expr("aggregate(zip_with(pa, pb, (x, y) -> bit_count(x ^ y)), 0, (s, v) -> s + v)")
-    near = pairs.join(x, "a").join(y, "b").where(differ * (NUMERATOR + DENOMINATOR) <= (F.col("na") + F.col("nb")) * (DENOMINATOR - NUMERATOR))
-    near = stored(near.select("a", "b"), "join-near")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(c.reps.select("cls", "doc_id"), "cls")
-    sets = stored(sets_of(c.docs, wanted), "join-sets")
-    left = sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("items").alias("ia"))
-    right = sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("items").alias("ib"))
-    both = near.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("ia", "ib")))
-    either = F.col("na") + F.col("nb") - F.col("both")
-    linked = both.select("a", "b", "both", either.alias("either")).where(F.col("both") * DENOMINATOR >= F.col("either") * NUMERATOR)
-    out = stored(linked, "join-links")
-    dropped(sets, near)
+    keys = scratch.stored(subsets.union(lists), "join-entries")
+    members = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    sized = scratch.stored(keys.join(members, "key"), "join-keys")
+    scratch.drop(shared, keys)
+    return Classes(own, documents, reps, sized)
+
+
+def _differ(pa_: Column, pb: Column) -> Column:
+    """The differing bits of two signatures, the longer one folded to the length of the shorter."""
+    half = lambda p: (F.size(p) / 2).cast("int")
+    fold = lambda p: F.zip_with(F.slice(p, F.lit(1), half(p)), F.slice(p, half(p) + 1, half(p)), lambda x, y: x.bitwiseXOR(y))
+    a = F.when(F.size(pa_) > F.size(pb), fold(pa_)).otherwise(pa_)
+    b = F.when(F.size(pb) > F.size(pa_), fold(pb)).otherwise(pb)
+    bits = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(bits, F.lit(0), lambda s, x: s + x)
+
+
+class Verifier:
+    """Verifies proposed pairs on whole sets, and keeps the sets it has read."""
+
+    def __init__(self, c: Classes, scratch: Scratch):
+        self.c, self.scratch, self.sets = c, scratch, []
+
+    def all_sets(self) -> DataFrame:
+        out = self.sets[0]
+        for more in self.sets[1:]:
+            out = out.union(more)
+        return out
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The stored pairs (a, b) that link, with intersection and union."""
+        c, scratch = self.c, self.scratch
+        x, y = c.reps.selectExpr("cls as a", "n as na", "parity as pa"), c.reps.selectExpr("cls as b", "n as nb", "parity as pb")
+        # 9 * (symmetric difference) <= n + m is the same condition; the signatures bound the difference from below
+        near = pairs.join(x, "a").join(y, "b").where(_differ(F.col("pa"), F.col("pb")) * (NUMERATOR + DENOMINATOR) <= (F.col("na") + F.col("nb")) * (DENOMINATOR - NUMERATOR))
+        near = scratch.stored(near.select("a", "b"), "join-near")
+        wanted = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        for known in self.sets:
+            wanted = wanted.join(known.select("cls"), "cls", "left_anti")
+        wanted = scratch.stored(wanted.join(c.reps.select("cls", "rid"), "cls"), "join-wanted")
+        found = sets_of(c.docs, wanted).join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
+        self.sets.append(scratch.stored(found, "join-sets"))
+        sets = self.all_sets()
+        left = sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("items").alias("ia"))
+        right = sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("items").alias("ib"))
+        both = near.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("ia", "ib")))
+        either = F.col("na") + F.col("nb") - F.col("both")
+        linked = both.select("a", "b", "both", either.alias("either")).where(F.col("both") * DENOMINATOR >= F.col("either") * NUMERATOR)
+        out = scratch.stored(linked.select("a", "b"), "join-links")
+        scratch.drop(near, wanted)
+        return out
+
+
+def _proposed(keys: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b): all of a small key, those with the pivot (the least hash) of a dense one."""
+    small = keys.where(F.col("members") <= DENSE)
+    x, y = small.alias("x"), small.alias("y")
+    # light pairs meet in subsets, so lists skip them
+    fits = F.expr("x.cls < y.cls and (not x.scan or x.heavy or y.heavy)") & _similar_sizes(F.col("x.n"), F.col("y.n"))
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & fits).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
+    dense = keys.where(F.col("members") > DENSE)
+    pivot = dense.groupBy("key").agg(F.min_by(F.struct("cls", "n"), F.xxhash64("cls")).alias("p")).select("key", F.col("p.cls").alias("a"), F.col("p.n").alias("na"))
+    spokes = dense.join(pivot, "key").where((F.col("cls") != F.col("a")) & _similar_sizes(F.col("n"), F.col("na")))
+    return pairs.union(spokes.select(F.least("a", "cls"), F.greatest("a", "cls"))).distinct()
+
+
+def _blocked(rows: DataFrame, by: str, blocks: Column) -> DataFrame:
+    """Rows of a group dealt to blocks by cls, and each block to its pairs with all blocks: columns lo, hi and block."""
+    rows = rows.withColumn("blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("blocks", "other")
+    return rows.repartition(shuffle_partitions(rows.sparkSession), by, "lo", "hi").sortWithinPartitions(by, "lo", "hi")
+
+
+def _groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[pa.Table]:
+    """The rows of each (by, lo, hi), from batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        key = [batch.column(c).to_numpy(zero_copy_only=False) for c in (by, "lo", "hi")]
+        edge = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
+        for a, b in zip([0, *edge.tolist()], [*edge.tolist(), batch.num_rows], strict=True):
+            if a == b:
+                continue
+            now = tuple(int(k[a]) for k in key)
+            if now != last and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = now
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _numbers(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy()
+
+
+def _signatures(table: pa.Table) -> tuple[dict[int, np.ndarray], np.ndarray]:
+    """(per length the signatures of the rows of that length, the length of each row's)."""
+    column = table.column("parity").combine_chunks()
+    lengths = np.diff(column.offsets.to_numpy())
+    flat = column.flatten().to_numpy().view(np.uint64)
+    ends = np.cumsum(lengths)
+    return {int(w): np.stack([flat[e - w : e] for e in ends[lengths == w]]) for w in np.unique(lengths)}, lengths
+
+
+def _open_pairs(keys: DataFrame, root: DataFrame, c: Classes, scratch: Scratch) -> DataFrame:
+    """Distinct pairs (a, b) in dense keys that lie in different components and that signatures do not rule out."""
+    dense = keys.where(F.col("members") > DENSE).join(root, F.col("cls") == F.col("v"), "left").select("key", "cls", "n", "heavy", "scan", F.coalesce("root", "cls").alias("root"))
+    dense = scratch.stored(dense, "join-placed")
+    several = dense.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo != hi").select("key", "m")
+    rows = dense.join(several, "key").join(c.reps.select("cls", "parity"), "cls")
+    ship(rows.sparkSession)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, "key"):
+            cls, n, root, heavy, scan, block = (_numbers(group, x) for x in ("cls", "n", "root", "heavy", "scan", "block"))
+            lo, hi = int(group.column("lo")[0].as_py()), int(group.column("hi")[0].as_py())
+            of_length, lengths = _signatures(group)
+            place = np.zeros(len(cls), np.int64)
+            for w in of_length:
+                place[lengths == w] = np.arange((lengths == w).sum())
+            out = []
+            first = np.flatnonzero(block == lo)
+            for i in first.tolist():
+                fits = (root != root[i]) & (np.minimum(n, n[i]) * DENOMINATOR >= np.maximum(n, n[i]) * NUMERATOR) & (heavy | heavy[i] | ~scan)
+                fits &= (block == hi) if lo != hi else (np.arange(len(cls)) > i)
+                for w, all_of in of_length.items():
+                    at = np.flatnonzero(fits & (lengths == w))
+                    if not len(at):
+                        continue
+                    mine, theirs = of_length[int(lengths[i])][place[i]], all_of[place[at]]
+                    while len(mine) > w:
+                        mine = mine[: len(mine) // 2] ^ mine[len(mine) // 2 :]
+                    while theirs.shape[1] > len(mine):
+                        half = theirs.shape[1] // 2
+                        theirs = theirs[:, :half] ^ theirs[:, half:]
+                    differ = np.bitwise_count(theirs ^ mine).sum(axis=1, dtype=np.int64)
+                    near = at[differ * (NUMERATOR + DENOMINATOR) <= (n[at].astype(np.int64) + n[i]) * (DENOMINATOR - NUMERATOR)]
+                    if len(near):
+                        out.append((np.minimum(cls[near], cls[i]), np.maximum(cls[near], cls[i])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[j] for x in out])) for j in (0, 1)], ["a", "b"])
+
+    pairs = _blocked(rows, "key", F.ceil(F.col("m") / BLOCK)).mapInArrow(compare, "a long, b long")
+    out = scratch.stored(pairs.distinct(), "join-pairs")
+    scratch.drop(dense)
     return out
 
 
-def class_links(c: Candidates) -> DataFrame:
-    """Every link between classes: a, b, both, either; stored."""
-    x, y = c.keys.alias("x"), c.keys.alias("y")
-    pairs = x.join(y, F.expr("x.key = y.key") & _to_check("x", "y"))
-    pairs = stored(pairs.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct(), "join-pairs")
-    found = verified(c, pairs)
-    dropped(pairs)
-    return found
-
-
-def links(docs: DataFrame) -> DataFrame:
-    """Every link between documents with different sets: a and b (least doc_ids of their classes), both, either."""
-    c = candidates(docs)
-    found = class_links(c)
-    a, b = c.reps.selectExpr("cls as a", "doc_id as doc_a"), c.reps.selectExpr("cls as b", "doc_id as doc_b")
-    return found.join(a, "a").join(b, "b").select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b"), "both", "either")
-
-
-def counted(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and n_links, the number of other rows it links with, for every row of docs."""
-    c = candidates(docs)
-    found = class_links(c)
-    sizes = stored(c.profiled.where("cls is not null").groupBy("cls").agg(F.count(F.lit(1)).alias("rows")), "join-sizes")
-    ends = found.select("a", "b").union(found.select("b", "a"))
-    linked = ends.join(sizes.select(F.col("cls").alias("b"), "rows"), "b").groupBy("a").agg(F.sum("rows").alias("linked"))
-    # the members of a class link with each other
-    each = sizes.join(linked, F.col("cls") == F.col("a"), "left").select("cls", (F.col("rows") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
-    placed = _placed(c, components(found)).join(stored(each, "join-counts"), "cls", "left")
-    documents = c.profiled.where("cell is null")
-    return documents.join(placed, "cls", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
-    )
-
-
-def _placed(c: Candidates, root: DataFrame) -> DataFrame:
-    """(cls, component_id): the least doc_id of all classes of a component."""
-    of = c.reps.join(root, F.col("cls") == F.col("v"), "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
-    of = stored(of, "join-of")
-    least = stored(of.groupBy("root").agg(F.min("doc_id").alias("component_id")), "join-least")
-    return stored(of.join(least, "root").select("cls", "component_id"), "join-components")
+def _components(c: Classes, verify: Verifier, scratch: Scratch) -> DataFrame:
+    """(v, root) of all classes that link."""
+    proposed = scratch.stored(_proposed(c.keys), "join-pairs")
+    found = verify.links(proposed)
+    scratch.drop(proposed)
+    root = scratch.own(components(found))
+    more = _open_pairs(c.keys, root, c, scratch)
+    if not more.isEmpty():
+        scratch.drop(root)
+        root = scratch.own(components(scratch.stored(found.union(verify.links(more)), "join-found")))
+    return root
+
+
+def shared_tokens(items: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """How many tokens each set at ``first`` shares with each at ``second``: a bit per token that several sets have."""
+    sizes = np.array([len(x) for x in items])
+    tokens, column, times = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(items)), sizes)
+    several = times[column] > 1
+    row, column = row[several], (np.cumsum(times > 1) - 1)[column[several]]
+    out = np.zeros((len(first), len(second)), np.int64)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for begin in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [begin, begin + COLUMNS])
+        width = -(-(int(column[b - 1]) - begin + 1) // 64) * 64
+        dense = np.zeros((len(items), width), bool)
+        dense[row[a:b], column[a:b] - begin] = True
+        bits = np.packbits(dense, axis=1).view(np.uint64)
+        theirs = bits[second]
+        for i, r in enumerate(first.tolist()):
+            out[i] += np.bitwise_count(theirs & bits[r]).sum(axis=1, dtype=np.int64)
+    return out
 
 
-def _spokes(keys: DataFrame, pivot: DataFrame) -> DataFrame:
-    """(a, b, shared): members of keys with the pivot of the key, b being the member."""
-    met = keys.join(pivot, "key").where(F.col("cls") != F.col("a")).where(_similar_sizes(F.col("n"), F.col("na")))
-    return met.groupBy("a", F.col("cls").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+def _within(c: Classes, placed: DataFrame, sets: DataFrame, emit: Callable, schema: str) -> DataFrame:
+    """``emit`` over the blocks of every component of three classes or more: cls, rows and n per member, and the matrix of links."""
+    joined = sets.join(placed, F.col("cls") == F.col("v")).select("root", "cls", "n", "items").join(c.reps.select("cls", "rows"), "cls")
+    size = joined.groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("tokens")).where("m > 2")
+    rows = joined.join(size, "root")
+    ship(rows.sparkSession)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, "root"):
+            cls, n, weight, block = (_numbers(group, x) for x in ("cls", "n", "rows", "block"))
+            lo, hi = int(group.column("lo")[0].as_py()), int(group.column("hi")[0].as_py())
+            column = group.column("items").combine_chunks()
+            ends, flat = column.offsets.to_numpy(), column.values.to_numpy()
+            items = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            first, second = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+            if not len(first) or not len(second):
+                continue
+            both = shared_tokens(items, first, second)
+            either = n[first].astype(np.int64)[:, None] + n[second].astype(np.int64)[None, :] - both
+            linked = both * DENOMINATOR >= either * NUMERATOR
+            if lo == hi:
+                np.fill_diagonal(linked, False)
+            yield from emit(cls, weight, first, second, linked, both, either, lo == hi)
+
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("tokens") / BLOCK_TOKENS))
+    return _blocked(rows, "root", blocks).mapInArrow(compare, schema)
+
+
+def _counts(cls, weight, first, second, linked, both, either, same) -> Iterator[pa.RecordBatch]:
+    yield pa.RecordBatch.from_pydict({"cls": cls[first], "linked": linked @ weight[second]})
+    if not same:
+        yield pa.RecordBatch.from_pydict({"cls": cls[second], "linked": linked.T @ weight[first]})
+
+
+def _pairs(cls, weight, first, second, linked, both, either, same) -> Iterator[pa.RecordBatch]:
+    i, j = np.nonzero(np.triu(linked) if same else linked)
+    yield pa.RecordBatch.from_pydict({"a": cls[first[i]], "b": cls[second[j]], "both": both[i, j], "either": either[i, j]})
+
+
+def _placed(c: Classes, root: DataFrame, scratch: Scratch) -> DataFrame:
+    """(cls, rows, root, component_id): the least doc_id of all classes of a component."""
+    of = c.reps.join(root, F.col("cls") == F.col("v"), "left").select("cls", "rid", "rows", F.coalesce("root", "cls").alias("root"))
+    of = scratch.stored(of, "join-of")
+    least = of.groupBy("root").agg(F.min("rid").alias("least"), F.count(F.lit(1)).alias("classes"), F.sum("rows").alias("total"))
+    out = scratch.stored(of.join(least, "root"), "join-components")
+    scratch.drop(of)
+    return out
 
 
-def _pivots(keys: DataFrame, *more: str) -> DataFrame:
-    """One member per key, the same for all keys that have it as their least hash."""
-    chosen = keys.groupBy("key").agg(F.min_by(F.struct("cls", "n", *more), F.xxhash64("cls")).alias("p"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    return chosen.select("key", F.col("p.cls").alias("a"), F.col("p.n").alias("na"), *[F.col(f"p.{x}").alias(f"{x}_a") for x in more])
+def _result(c: Classes, placed: DataFrame, *more: str) -> DataFrame:
+    """The documents with what their class has got; those without a class alone."""
+    own = c.documents.where("cls is not null").join(placed, "cls").select("doc_id", "n_shingles", F.expr(f"nullif(least, {NO_ID}L)").alias("component_id"), *more)
+    none = c.documents.where("cls is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), *[F.lit(0).cast("long").alias(x) for x in more])
+    return stored(own.union(none), "join-result")
 
 
-def _pairs(spokes: DataFrame) -> DataFrame:
-    return spokes.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def joined(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of docs (doc_id, text); stored."""
+    with Scratch() as scratch:
+        c = classes(docs, scratch)
+        return _result(c, _placed(c, _components(c, Verifier(c, scratch), scratch), scratch))
 
 
-def _open(keys: DataFrame, root: DataFrame) -> DataFrame:
-    """The rows, with their component, of keys whose members lie in several components."""
-    placed = keys.join(root, F.col("cls") == F.col("v"), "left").select("key", "cls", "n", "heavy", "scan", F.coalesce("root", "cls").alias("root"))
-    placed = stored(placed, "join-placed")
-    several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    out = stored(placed.join(several.select("key"), "key", "left_semi"), "join-open")
-    dropped(placed)
-    return out
+def counted(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and n_links, the number of other rows it links with, for every row of docs; stored."""
+    with Scratch() as scratch:
+        c = classes(docs, scratch)
+        verify = Verifier(c, scratch)
+        root = _components(c, verify, scratch)
+        placed = _placed(c, root, scratch)
+        counts = _within(c, root, verify.all_sets(), _counts, "cls long, linked long").groupBy("cls").agg(F.sum("linked").alias("linked"))
+        # the rows of a class link with each other; two classes of a component link, or it would not be one
+        alone = F.when(F.col("classes") <= 2, F.col("total") - F.col("rows")).otherwise(F.coalesce("linked", F.lit(0)))
+        each = placed.join(counts, "cls", "left").select("cls", "least", (F.col("rows") - 1 + alone).alias("n_links"))
+        return _result(c, scratch.stored(each, "join-counts"), "n_links")
 
 
-def joined(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of docs (doc_id, text)."""
-    c = candidates(docs)
-    # first every class with the pivot that it shares the most keys with
-    best = _spokes(c.keys, stored(_pivots(c.keys), "join-pivots")).groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
-    tried = stored(_pairs(best), "join-pairs")
-    found = verified(c, tried)
-    root = components(found)
-
-    # then the pivots of keys that are still open, where they lie in another component
-    rest = _open(c.keys, root)
-    pivot = stored(_pivots(rest, "root"), "join-pivots")
-    spokes = _spokes(rest.join(pivot.select("key", "root_a"), "key").where("root != root_a").select("key", "cls", "n"), pivot)
-    second = stored(_pairs(spokes).join(tried, ["a", "b"], "left_anti"), "join-pairs")
-    found = stored(found.union(verified(c, second)), "join-found")
-    root = components(found)
-
-    # at last all pairs that the keys leave between components
-    rest = _open(rest.drop("root"), root)
-    x, y = rest.alias("x"), rest.alias("y")
-    pairs = x.join(y, F.expr("x.key = y.key and x.root != y.root") & _to_check("x", "y"))
-    pairs = pairs.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
-    third = stored(pairs.join(tried.union(second), ["a", "b"], "left_anti"), "join-pairs")
-    more = verified(c, third)
-    if not more.isEmpty():
-        root = components(found.union(more))
-    dropped(rest, pivot, tried, second, third)
+def links(docs: DataFrame) -> DataFrame:
+    """Every link between documents with different sets: a and b (least doc_ids of their classes), both, either; stored.
 
-    of = _placed(c, root)
-    documents = c.profiled.where("cell is null")
-    return documents.join(of, "cls", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    Its rows are the links, so a group of m near copies has up to m * m / 2 of them.
+    """
+    with Scratch() as scratch:
+        c = classes(docs, scratch)
+        verify = Verifier(c, scratch)
+        root = _components(c, verify, scratch)
+        sets = verify.all_sets()
+        found = _within(c, root, sets, _pairs, "a long, b long, both long, either long")
+        size = root.groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("a"), F.max("v").alias("b")).where("m = 2")
+        left, right = sets.selectExpr("cls as a", "n as na", "items as ia"), sets.selectExpr("cls as b", "n as nb", "items as ib")
+        two = size.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("ia", "ib")).cast("long"))
+        found = found.union(two.select("a", "b", "both", (F.col("na") + F.col("nb") - F.col("both")).alias("either")))
+        a, b = c.reps.selectExpr("cls as a", "rid as doc_a"), c.reps.selectExpr("cls as b", "rid as doc_b")
+        ends = found.join(a, "a").join(b, "b").select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b"), "both", "either")
+        null = lambda x: F.expr(f"nullif({x}, {NO_ID}L)").alias(x)
+        return stored(ends.select(null("a"), null("b"), "both", "either"), "join-found")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of docs whose doc_id is the least of its component; of repeated rows one."""
-    found = stored(joined(docs), "join-result")
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    kept = stored(kept, "join-kept")
+    found = joined(docs)
+    with Scratch() as scratch:
+        scratch.own(found)
+        kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+        kept = stored(kept, "join-kept")
     stay = kept.select(F.col("doc_id").alias("kept_id"))
     rows = docs.join(stay, docs["doc_id"].eqNullSafe(stay["kept_id"]), "left_semi")
     # a doc_id that several rows share: rows with equal texts are one document
@@ -433,7 +575,9 @@ WITH RECURSIVE w AS (
     SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
 ), r AS (
     SELECT doc_id AS v, doc_id AS u FROM n UNION SELECT r.v, l.b FROM r JOIN l ON l.a = r.u
+), d AS (
+    SELECT a, count(*) AS links FROM l GROUP BY 1
 )
-SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, CAST(min(r.u) AS BIGINT) AS component_id
-FROM n JOIN r ON r.v = n.doc_id GROUP BY n.doc_id, n.n
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, CAST(min(r.u) AS BIGINT) AS component_id, CAST(coalesce(any_value(d.links), 0) AS BIGINT) AS n_links
+FROM n JOIN r ON r.v = n.doc_id LEFT JOIN d ON d.a = n.doc_id GROUP BY n.doc_id, n.n
 """

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import random
 
+import numpy as np
+
+from keelson.llm import jaccard
+from keelson.llm.common import shared_folder
 from keelson.llm.jaccard import ORACLE_SQL, counted, joined, links, one_of_each, op2_jaccard_join
 from tests.conftest import TESTDATA, duckdb_on
 from tests.llm.helpers import awkward_docs, words
@@ -83,10 +88,104 @@ def test_awkward_docs(spark):
     assert joined(df.limit(0)).count() == 0
 
 
+def test_awkward_docs_are_counted(spark):
+    df, texts = awkward_docs(spark)
+    rows = counted(df).collect()
+    sets = [shingles(t) for _, t in texts]
+    want = [(i, len(a), sum(bool(a and b) and x != y and 100 * len(a & b) >= 80 * len(a | b) for y, b in enumerate(sets))) for x, ((i, _), a) in enumerate(zip(texts, sets, strict=True))]
+    assert sorted(((r.doc_id, r.n_shingles, r.n_links) for r in rows), key=repr) == sorted(want, key=repr)
+    _, components = brute([(i, t) for i, t in texts if i is not None])
+    assert {r.doc_id: r.component_id for r in rows if r.doc_id is not None} == components
+    empty = counted(df.limit(0))
+    assert empty.count() == 0 and empty.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+
+
 def test_matches_oracle(spark):
-    sf = f"{TESTDATA}/sf0.001"
-    got = sorted(map(tuple, op2_jaccard_join(spark, sf).select("doc_id", "n_shingles", "component_id").collect()))
-    assert got == sorted(duckdb_on(sf).execute(ORACLE_SQL).fetchall())
+    for sf in ("sf0.001", "sf0.01"):
+        got = op2_jaccard_join(spark, f"{TESTDATA}/{sf}")
+        want = duckdb_on(f"{TESTDATA}/{sf}").execute(ORACLE_SQL)
+        assert got.columns == [c[0] for c in want.description]
+        assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
+def folders(spark):
+    return {x for x in os.listdir(shared_folder(spark).removeprefix("file://"))}
+
+
+def test_only_the_result_is_left(spark):
+    df = spark.createDataFrame(chains(7), "doc_id long, text string")
+    before = folders(spark)
+    kept = one_of_each(df)
+    assert kept.count() and len(folders(spark) - before) == 1
+    assert counted(df).count() and len(folders(spark) - before) == 2
+
+
+def dense_group(seed, n):
+    """n different near copies of one text, some too far from it; documents that share most of their frequent lines; near copies of 4 sizes."""
+    r = random.Random(seed)
+    base = [f"b{i}" for i in range(140)]
+    texts = []
+    for _ in range(n):
+        new = list(base)
+        for _ in range(r.choice([1, 1, 2, 3, 6, 20])):
+            new[r.randrange(140)] = f"n{r.randrange(10**6)}"
+        texts.append(" ".join(new[: r.choice([140, 140, 130, 115])]))
+    lines = [" ".join(f"l{i}x{j}" for j in range(12)) for i in range(12)]
+    for _ in range(n // 4):
+        texts.append("\n".join(r.sample(lines, r.choice([5, 6, 7]))) + f" own{r.randrange(10**6)} end")
+    return list(enumerate(texts))
+
+
+def test_dense_groups(spark, monkeypatch):
+    """Blocks of a few members, so that dense keys and large components take many of them."""
+    monkeypatch.setattr(jaccard, "BLOCK", 50)
+    texts = dense_group(3, 400)
+    sets = [shingles(t) for _, t in texts]
+    want = {i: sum(x != i and 100 * len(a & b) >= 80 * len(a | b) for x, b in enumerate(sets)) for i, a in enumerate(sets)}
+    components = brute(texts)[1]
+    rows = counted(spark.createDataFrame(texts, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: r.component_id for r in rows} == components
+    assert {r.doc_id: r.n_links for r in rows} == want
+    assert max(want.values()) > 150 and len(set(components.values())) > 30
+
+
+def test_large_dense_group(spark):
+    """2,000 different near copies: every link is counted, and no join makes a row per pair."""
+    r = random.Random(8)
+    base = [f"b{i}" for i in range(60)]
+    texts = []
+    for i in range(2000):
+        new = list(base)
+        new[r.randrange(60)] = f"n{i}"
+        texts.append((i, " ".join(new)))
+    sets = [shingles(t) for _, t in texts]
+    places = {}
+    for s in sets:
+        places.setdefault(next(j for j in range(60) if not any(f"b{j}" in g for g in s)), []).append(s)
+    # a link depends only on where the two words were changed, and on whether they are the same document
+    one = {p: v[0] for p, v in places.items()}
+    other = {p: v[1] for p, v in places.items()}
+    linked = {(p, q): 100 * len(one[p] & other[q]) >= 80 * len(one[p] | other[q]) for p in places for q in places}
+    of = {i: next(p for p, v in places.items() if any(s is x for x in v)) for i, s in enumerate(sets)}
+    want = {i: sum(len(v) * linked[of[i], p] for p, v in places.items()) - linked[of[i], of[i]] for i, _ in texts}
+    rows = counted(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {x.doc_id: x.n_links for x in rows} == want and {x.component_id for x in rows} == {0}
+
+
+def test_signatures_bound_the_difference():
+    r = np.random.default_rng(1)
+    for n in (4, 900, 1100, 5000):
+        a = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64))
+        for changed in (0, 1, n // 10, n // 3):
+            b = np.unique(np.concatenate([a[changed:], r.integers(0, 1 << 63, changed + n // 7, dtype=np.uint64)]))
+            x, y = jaccard.parity(a).view(np.uint64), jaccard.parity(b).view(np.uint64)
+            while len(x) > len(y):
+                x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+            while len(y) > len(x):
+                y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+            differ, exact = int(np.bitwise_count(x ^ y).sum()), len(np.setxor1d(a, b))
+            assert exact * 0.5 <= differ <= exact
+            assert jaccard.shared_tokens([a, b], np.array([0]), np.array([1]))[0, 0] == len(np.intersect1d(a, b))
 
 
 def test_every_link_is_counted(spark):
