@@ -21,9 +21,9 @@ encodes and writes one shard and reports one manifest row. The manifest is
 stored before anything is read, so a lost executor costs
 only its own tasks, and files of failed attempts are never listed. Places
 of documents follow from a running sum over shards (one row each). Encoding keeps a bounded
-per-worker table from chunks of text to their ids: byte-pair merges never cross the
-boundary before a single space, so equal chunks have equal ids wherever they stand. Documents
-with runs of spaces are encoded whole.
+per-worker table from chunks of text to their ids. Texts are cut only at a single space between two characters that are
+not white space of any kind: there the tokenizer's splitting expression always starts a new piece, and merges stay within pieces
+(a merge of spaces and other white space can reach over other spaces). Tokenizers that split in another way encode whole texts.
 
 Edge cases. Null text is empty: the document is the closing id alone. A null
 doc_id sorts first. Rows with the same doc_id are documents of their own, ordered by text. Strings of
@@ -33,12 +33,16 @@ special tokens in a text are ordinary text. An empty table gives no rows. Other
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -52,11 +56,10 @@ END_ID = 0
 FOOTER = "<qq32s32s8s"
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<i8"), ("length", "<i8"), ("n_tokens", "<i8"), ("null", "<u8")])
 DICT_BYTES = 64 * 1024
-DICT_DOCS = 400  # documents the dictionary is trained on, at most
-DICT_CHARS = 8_000  # of each of them, at most
+DICT_DOCS = 300  # documents the dictionary is trained on, at most, whole
 CACHED_CHUNKS = 800_000  # per worker
 LEVEL = 1
-SLICE = 256  # documents encoded at a time
+SLICE_CHARS = 1 << 22  # of texts encoded at a time; a longer text is encoded alone
 
 
 def default_tokenizer() -> str:
@@ -65,25 +68,27 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _parts(chunk: str) -> tuple[str, ...]:
-    """A chunk as parts that the tokenizer separates anyway, so that more of them are known.
+def separable(definition: dict) -> bool:
+    """Whether a tokenizer splits texts before each single space between two characters that are not white space.
 
-    One comma or full stop after an ASCII letter or digit, at the end, stands alone; so does a line
-    break between two characters that are not blank.
+    The byte-level splitting expression does: such a space starts a piece, and no merge reaches over two pieces.
     """
-    if "\n" in chunk:
-        lines = chunk.split("\n")
-        if all(lines) and not any(x[0].isspace() or x[-1].isspace() for x in lines):
-            first, *more = lines
-            return (*_parts(first), *(p for x in more for p in ("\n", *_parts(x))))
-        return (chunk,)
-    if len(chunk) > 2 and chunk[-1] in ",." and chunk[-2].isalnum() and chunk[-2].isascii():
-        return (chunk[:-1], chunk[-1])
-    return (chunk,)
+    split = definition.get("pre_tokenizer") or {}
+    return definition.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True)
+
+
+# White space as the splitting expression sees it, and more: where in doubt, a text is cut at fewer places.
+_SPACES = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
+_UNSAFE = f"^ | $|[{_SPACES}] | [{_SPACES}]"
+_SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Encoder:
-    """Whole texts to serialized id arrays, through the tokenizers library."""
+    """Texts to arrays of ids, through the tokenizers library.
+
+    Texts are cut into chunks at single spaces between two characters that are not white space; every chunk is encoded
+    once, whole and with its space, and found in a table from then on.
+    """
 
     def __init__(self, path: str):
         import os
@@ -93,61 +98,64 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        with open(path, encoding="utf-8") as f:
+            self.separable = separable(json.load(f))
         self.known: dict[str, bytes] = {}  # by chunk, for one that follows a space
-        self.bare: dict[str, bytes] = {}  # by part, for one that does not
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in got]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Texts to ids; what is met for the first time is encoded once, for all texts."""
-        known, bare = self.known, self.bare
-        get = known.get
-        plans: list[tuple[list[str], list[bytes | None], list[int]] | None] = []
-        new: dict[str, tuple[str, ...]] = {}  # chunk after a space -> its parts
-        words: set[str] = set()
-        singles: set[str] = set()
-        whole: list[str] = []
-        for text in texts:
-            if "  " in text or text.endswith(" "):
-                whole.append(text)
-                plans.append(None)
-                continue
-            head, *chunks = text.split(" ")
-            found = list(map(get, chunks))
-            gaps = [i for i, ids in enumerate(found) if ids is None]
-            for i in gaps:
-                if (c := chunks[i]) not in new:
-                    new[c] = parts = _parts(c)
-                    if parts[0] not in known:
-                        words.add(parts[0])
-                    singles.update(parts[1:])
-            singles.update(lead := _parts(head)) if head else (lead := ())
-            plans.append((chunks, found, gaps, lead))
-        singles = [x for x in singles if x not in bare]
-        words = list(words)
-        ids = self._ids([" " + w for w in words] + singles + whole)
-        first = dict(zip(words, ids, strict=False))
-        short = dict(zip(singles, ids[len(words) :], strict=False))
-        rest = iter(ids[len(words) + len(singles) :])
-        if len(bare) < CACHED_CHUNKS // 4:
-            bare.update(short)
-        one = lambda x: bare.get(x) or short[x]
-        fresh = {c: b"".join([get(p[0]) or first[p[0]], *map(one, p[1:])]) for c, p in new.items()}
-        if len(known) < CACHED_CHUNKS:
-            known.update(first)
-            known.update(fresh)
-        out = []
-        for plan in plans:
-            if plan is None:
-                out.append(next(rest))
-                continue
-            chunks, found, gaps, lead = plan
-            for i in gaps:
-                found[i] = fresh[chunks[i]]
-            out.append(b"".join([*map(one, lead), *found]))
-        return out
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _of_chunks(self, chunks: list[str]) -> list[bytes]:
+        """The ids of different chunks, each after a space."""
+        known = self.known
+        found = list(map(known.get, chunks))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        for begin in range(0, len(gaps), 1 << 14):
+            own = gaps[begin : begin + (1 << 14)]
+            for i, ids in zip(own, self._ids([" " + chunks[i] for i in own]), strict=True):
+                found[i] = ids
+            if len(known) < CACHED_CHUNKS:
+                known.update((chunks[i], found[i]) for i in own)
+        return found
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text; null is empty."""
+        texts = pc.fill_null(texts, "")
+        if not self.separable:
+            return [np.frombuffer(x, np.uint32) for x in self._ids(texts.to_pylist())]
+        split = pc.split_pattern(texts, " ")
+        unsafe = np.flatnonzero(pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False))
+        if len(unsafe):
+            rows = split.to_pylist()
+            for i in unsafe.tolist():
+                rows[i] = _SAFE_SPACE.split(texts[i].as_py())
+            split = pa.array(rows, pa.list_(pa.string()))
+        offsets = split.offsets.to_numpy()
+        words = split.flatten().dictionary_encode()
+        index = words.indices.to_numpy()
+        chunks = words.dictionary.to_pylist()
+        heads = offsets[:-1]  # the first chunk of a text follows no space
+        follows = np.ones(len(index), bool)
+        follows[heads] = False
+        used = np.zeros(len(chunks), bool)
+        used[index[follows]] = True
+        place = np.flatnonzero(used)
+        table: list[bytes] = [b""] * len(chunks)
+        for i, ids in zip(place.tolist(), self._of_chunks([chunks[i] for i in place.tolist()]), strict=True):
+            table[i] = ids
+        index = index.astype(np.int64)
+        firsts = [chunks[i] for i in index[heads].tolist()]
+        index[heads] = len(table) + np.arange(len(heads))
+        table += self._ids(firsts)
+        # gather the ids of all chunks in order
+        lengths = np.fromiter(map(len, table), np.int64, len(table)) // 4
+        flat = np.frombuffer(b"".join(table), np.uint32)
+        starts = np.cumsum(lengths) - lengths
+        each = lengths[index]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        ids = flat[np.repeat(starts[index] - ends[:-1], each) + np.arange(ends[-1])]
+        bounds = ends[offsets]
+        return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -176,9 +184,9 @@ def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
     )
     # the hashes decide first, without the texts, so that tasks send few of those
     last = sample.select("h").orderBy("h").limit(DICT_DOCS).agg(F.max("h")).first()[0]
-    sample = sample.where(F.col("h") <= last).select("h", F.substring("text", 1, DICT_CHARS).alias("text")).limit(DICT_DOCS).collect() if last is not None else []
+    sample = sample.where(F.col("h") <= last).select("h", "text").limit(DICT_DOCS).collect() if last is not None else []
     sample.sort()
-    samples = encoder(tokenizer).encode([r.text for r in sample])
+    samples = [ids.astype("<u4").tobytes() for ids in encoder(tokenizer).encode(pa.array([r.text for r in sample], pa.string()))]
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
@@ -189,6 +197,16 @@ def zstd_dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(raw) if len(raw) >= 8 else None
 
 
+def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first row, end row) of runs of at most SLICE_CHARS bytes, or one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
+    i = 0
+    while i < len(ends):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + SLICE_CHARS, "right")))
+        yield i, j
+        i = j
+
+
 MANIFEST = "part int, path string, docs long, tokens long"
 ROWS = "part int, doc_id long, before long, n_tokens long, ids_crc32 long"
 
@@ -215,17 +233,17 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str | None = None) ->
         fs, path = filesystem(folder)
         out, at, index, name = None, len(MAGIC), [], attempt_name(f"shard-{part:06d}", ".ktok")
         for batch in batches:
-            for begin in range(0, batch.num_rows, SLICE):
-                piece = batch.slice(begin, SLICE)
-                ids = enc.encode([t or "" for t in piece.column("text").to_pylist()])
+            for begin, upto in slices(batch.column("text")):
+                piece = batch.slice(begin, upto - begin)
+                ids = enc.encode(piece.column("text"))
                 if out is None:
                     out = fs.open_output_stream(f"{path}/{name}")
                     out.write(MAGIC)
                 rows = np.zeros(len(ids), INDEX)
                 frames = []
                 for i, (doc_id, one) in enumerate(zip(piece.column("doc_id").to_pylist(), ids, strict=True)):
-                    frame = press.compress(one + end)
-                    rows[i] = (doc_id or 0, at, len(frame), len(one) // 4 + 1, doc_id is None)
+                    frame = press.compress(one.astype("<u4").tobytes() + end)
+                    rows[i] = (doc_id or 0, at, len(frame), len(one) + 1, doc_id is None)
                     at += len(frame)
                     frames.append(frame)
                 out.write(b"".join(frames))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import random
 import zlib
+from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -31,11 +34,42 @@ ODD = [
 ]
 
 
+def same_ids(encoder, tokenizer, texts):
+    got = encoder.encode(pa.array(texts, pa.string()))
+    want = tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    return [i for i, (x, e) in enumerate(zip(got, want, strict=True)) if x.tolist() != e.ids] == []
+
+
 def test_chunks_encode_as_whole_texts(tokenizer):
     encoder = Encoder(default_tokenizer())
+    assert encoder.separable
     for _ in range(2):  # unknown chunks, then known ones
-        got = encoder.encode(ODD)
-        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [ids_of(tokenizer, t)[:-1].tolist() for t in ODD]
+        assert same_ids(encoder, tokenizer, [*ODD, None])
+    assert encoder.encode(pa.array([], pa.string())) == []
+
+
+def test_every_kind_of_white_space(tokenizer):
+    """All strings of up to 6 characters over a letter and white space, where merges reach over spaces; then longer ones at random."""
+    encoder = Encoder(default_tokenizer())
+    spaces = "a \xa0\n\u3000\t"
+    for n in range(1, 7):
+        texts = ["".join(x) for x in product(spaces, repeat=n)]
+        for i in range(0, len(texts), 5000):
+            assert same_ids(encoder, tokenizer, texts[i : i + 5000])
+    assert encoder.encode(pa.array([" \xa0 \xa0"]))[0].tolist() == [11504]
+    r = random.Random(2)
+    letters = "ab1.,'s é\xa0\u2003\u2028\x85\x1c\x0b\r\n\t  \u200b\ufeff\u180e😀ß"
+    for _ in range(12):
+        assert same_ids(encoder, tokenizer, ["".join(r.choices(letters, k=r.randrange(1, 40))) for _ in range(5000)])
+
+
+def test_other_tokenizers_encode_whole_texts():
+    from public_tokenizers import path
+
+    encoder = Encoder(path("word_bpe_49k.json"))
+    plain = Tokenizer.from_file(path("word_bpe_49k.json"))
+    plain.encode_special_tokens = True
+    assert not encoder.separable and same_ids(encoder, plain, ODD)
 
 
 def check(rows, texts, tokenizer):
