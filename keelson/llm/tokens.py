@@ -77,6 +77,8 @@ def separable(definition: dict) -> bool:
     return definition.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True)
 
 
+SPACE = "\u0120"  # how byte-level vocabularies write it
+
 # White space as the splitting expression sees it, and more: where in doubt, a text is cut at fewer places.
 _SPACES = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
 _UNSAFE = f"^ | $|[{_SPACES}] | [{_SPACES}]"
@@ -100,11 +102,33 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             self.separable = separable(json.load(f))
+        names = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(names.values(), default=0) + 1, bool)  # ids of tokens that start with a space
+        self.spaced[[i for name, i in names.items() if name.startswith(SPACE)]] = True
         self.known: dict[str, bytes] = {}  # by chunk, for one that follows a space
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _after_spaces(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each chunk after a space: as one text of many chunks, taken apart where tokens start with a space."""
+        plain = [i for i, c in enumerate(chunks) if c and " " not in c and not c[0].isspace() and not c[-1].isspace()]
+        if plain and len(plain) == len(chunks):
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(chunks)], add_special_tokens=False)[0].ids, np.uint32)
+            begins = np.flatnonzero(self.spaced[ids])
+            if len(begins) == len(chunks):
+                raw, ends = ids.tobytes(), np.append(begins, len(ids)) * 4
+                return [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            return self._ids([" " + c for c in chunks])
+        out: list[bytes] = self._ids([" " + c for c in chunks]) if not plain else [b""] * len(chunks)
+        if plain:
+            for i, ids in zip(plain, self._after_spaces([chunks[i] for i in plain]), strict=True):
+                out[i] = ids
+            rest = sorted(set(range(len(chunks))) - set(plain))
+            for i, ids in zip(rest, self._ids([" " + chunks[i] for i in rest]), strict=True):
+                out[i] = ids
+        return out
+
     def _of_chunks(self, chunks: list[str]) -> list[bytes]:
         """The ids of different chunks, each after a space."""
         known = self.known
@@ -112,7 +136,7 @@ class Encoder:
         gaps = [i for i, ids in enumerate(found) if ids is None]
         for begin in range(0, len(gaps), 1 << 14):
             own = gaps[begin : begin + (1 << 14)]
-            for i, ids in zip(own, self._ids([" " + chunks[i] for i in own]), strict=True):
+            for i, ids in zip(own, self._after_spaces([chunks[i] for i in own]), strict=True):
                 found[i] = ids
             if len(known) < CACHED_CHUNKS:
                 known.update((chunks[i], found[i]) for i in own)
