@@ -2,9 +2,8 @@ r"""Operator 8: quality rules, with line frequencies across documents.
 
 Lines are normalised (ASCII lower case, digits to 0, white space to one
 space), hashed, and counted per host (``source``): in how many different documents does
-a line stand? Copies of one text count once. Lines in more than
-``max(MIN_DOCS, SHARE of the host's different documents)`` are taken out, and a document that loses more than
-half of its words with them is depleted and rejected. The base rules of the contract reject first.
+a line stand? Copies of one text count once. Lines in more than MIN_DOCS of them are taken out, however large the host
+is, and a document that loses more than half of its words with them is depleted and rejected. The base rules of the contract reject first.
 ``without_lines`` returns the documents without these lines; the counts of removed lines and words and the digest of what
 is left are taken from the texts it makes.
 
@@ -34,7 +33,6 @@ from keelson.llm.words import Words, chunks, mix
 
 LEAST_WORDS = 50
 MIN_DOCS = 10
-SHARE = 0.05  # of the different documents of a host
 DEPLETED = 0.5  # of a document's words in lines above the limit
 
 _NORMAL = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", b"abcdefghijklmnopqrstuvwxyz000000000")
@@ -117,23 +115,22 @@ def distinct_lines(rows: DataFrame) -> DataFrame:
     return stored(rows.select("host", "text_key", "text").mapInArrow(scan, LINES), "rules-lines")
 
 
-def marked_lines(rows: DataFrame, min_docs: int, share: float) -> DataFrame:
-    """Stored (host, text_key, marked): the hashes of the lines above the limits, for texts that have such lines."""
+def marked_lines(rows: DataFrame, min_docs: int) -> DataFrame:
+    """Stored (host, text_key, marked): the hashes of the lines above the limit, for texts that have such lines."""
     found = distinct_lines(rows)
     lines = found.select("host", "text_key", F.explode("keys").alias("key"))
-    hosts = found.select("host", "text_key").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("docs"))
     per_line = lines.distinct().groupBy("host", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_docs)
-    above = stored(per_line.join(hosts, "host").where(F.col("n") > F.col("docs") * share).select("host", "key"), "rules-above")
+    above = stored(per_line.select("host", "key"), "rules-above")
     out = stored(lines.join(above, ["host", "key"]).groupBy("host", "text_key").agg(F.collect_set("key").alias("marked")), "rules-marked")
     dropped(found, above)
     return out
 
 
-def removed(docs: DataFrame, columns: list[str], min_docs: int, share: float) -> DataFrame:
+def removed(docs: DataFrame, columns: list[str], min_docs: int) -> DataFrame:
     """doc (a struct of columns), the text that is left, and the counts of every row of docs."""
     ship(docs.sparkSession)
     rows = _rows(docs, columns)
-    met = rows.join(marked_lines(rows, min_docs, share), ["host", "text_key"], "left").select("doc", "text", "marked")
+    met = rows.join(marked_lines(rows, min_docs), ["host", "text_key"], "left").select("doc", "text", "marked")
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines_removed", "n_words_removed")
     schema = StructType([met.schema["doc"], StructField("left", StringType()), *[StructField(c, LongType()) for c in counts]])
 
@@ -166,15 +163,15 @@ def removed(docs: DataFrame, columns: list[str], min_docs: int, share: float) ->
     return met.mapInArrow(scan, schema)
 
 
-def without_lines(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
-    """All rows of docs with all their columns, the text without the lines above the limits."""
-    found = removed(docs, [c for c in docs.columns if c != "text"], min_docs, share)
+def without_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """All rows of docs with all their columns, the text without the lines above the limit."""
+    found = removed(docs, [c for c in docs.columns if c != "text"], min_docs)
     return found.select(*[F.col("left").alias("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns])
 
 
-def rules(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED) -> DataFrame:
+def rules(docs: DataFrame, min_docs: int = MIN_DOCS, depleted: float = DEPLETED) -> DataFrame:
     """The counts, base verdict and final verdict for every row of docs (doc_id, text, source), and the digest of what is left of its text."""
-    found = removed(docs, ["doc_id"], min_docs, share)
+    found = removed(docs, ["doc_id"], min_docs)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return found.select(
         F.col("doc")["doc_id"].cast("long").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -201,10 +198,13 @@ WITH d AS (
     SELECT *, trim(regexp_replace(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS k,
            len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n, row_number() OVER (PARTITION BY doc_id, l ORDER BY i) AS nth
     FROM raw WHERE regexp_matches(l, '[^\x20\x09-\x0D]')
-), hosts AS (
-    SELECT host, count(DISTINCT text) AS docs FROM d GROUP BY host
 ), above AS (
-    SELECT host, k FROM (SELECT host, k, count(DISTINCT text) AS n FROM line GROUP BY host, k) JOIN hosts USING (host) WHERE n > 10 AND n > docs * 0.05
+    SELECT host, k FROM line GROUP BY host, k HAVING count(DISTINCT text) > 10
+), kept_lines AS (
+    SELECT doc_id, string_agg(l, chr(10) ORDER BY i) AS t FROM (
+        SELECT *, trim(regexp_replace(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS k
+        FROM raw
+    ) ANTI JOIN above USING (host, k) GROUP BY doc_id
 ), lost AS (
     SELECT doc_id, sum(n) AS words, count(DISTINCT k) AS lines FROM line JOIN above USING (host, k) GROUP BY doc_id
 ), dup AS (
@@ -219,13 +219,13 @@ WITH d AS (
     SELECT doc_id, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
            length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
            coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(lost.lines, 0) AS n_lines_removed,
-           coalesce(lost.words, 0) AS n_words_removed
-    FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN lost USING (doc_id)
+           coalesce(lost.words, 0) AS n_words_removed, sha256(coalesce(kept_lines.t, '')) AS left_sha256
+    FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN lost USING (doc_id) LEFT JOIN kept_lines USING (doc_id)
 )
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
        (NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words_removed <= n_words * 0.5) AS kept,
-       CAST(n_lines_removed AS BIGINT) AS n_lines_removed, CAST(n_words_removed AS BIGINT) AS n_words_removed
+       CAST(n_lines_removed AS BIGINT) AS n_lines_removed, CAST(n_words_removed AS BIGINT) AS n_words_removed, left_sha256
 FROM b
 """
