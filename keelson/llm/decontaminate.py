@@ -20,12 +20,15 @@ Most passages need no search: per item the impacts of its commonest terms, up to
 if the other terms it shares with some item weigh at least threshold - (what was set aside).
 That bound is computed for all passages of a chunk at once.
 
-Scale. The index is broadcast, about ``SHARD_ITEMS`` items and pieces at a time: a larger benchmark is
+Scale. The index is built in tasks, one for about ``SHARD_ITEMS`` items and pieces, and written to the shared folder, from where each worker
+loads it; no item reaches the driver. A larger benchmark is
 searched shard after shard, each by one pass over the documents. Item number, mean length and document
 frequencies are counted once over the whole benchmark, and each shard gets those of its own terms, so scores and hits do not depend on
 the number of shards. No shuffle but for these counts and
 the hits, which are grouped per document and item.
 
+Case. Texts and items are compared after Unicode case folding, so upper-case copies are found in every language.
+
 Edge cases. Null or wordless items and documents never match. Repeated document rows
 give one hit per (doc_id, item). Items with equal texts are all reported. Null doc_ids are reported as null. An empty
 table gives no rows. Other columns are ignored.
@@ -33,6 +36,7 @@ table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 from math import fsum, log
@@ -42,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm.common import read, ship, stored
+from keelson.llm.common import Scratch, attempt_name, filesystem, make_folder, new_folder, read, ship, shuffle_partitions
 from keelson.llm.words import Words, chunks
 
 PASSAGE = 96
@@ -55,7 +59,7 @@ K1, B = 1.2, 0.75
 BLOCK = 64
 SHARD_ITEMS = 20_000  # with their pieces
 
-# letters and digits stay, in lower case; ASCII punctuation parts words
+# letters and digits stay; ASCII punctuation parts words
 _PLAIN = np.arange(256, dtype=np.uint8)
 for _c in range(128):
     if not chr(_c).isalnum():
@@ -64,11 +68,16 @@ _PLAIN[10] = 10
 
 
 def plain_words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    return Words(_PLAIN[data], offsets, lower=True)
+    return Words(_PLAIN[data], offsets)
+
+
+def folded(texts: pa.Array) -> pa.Array:
+    """Texts without case: Unicode case folding, which also makes ss of a German sharp s."""
+    return pa.array([t if t is None else t.casefold() for t in texts.to_pylist()], pa.string())
 
 
 def hashes_of(text: str) -> np.ndarray:
-    data = np.frombuffer(text.encode(), np.uint8)
+    data = np.frombuffer(text.casefold().encode(), np.uint8)
     return plain_words(data, np.array([0, len(data)])).hashes
 
 
@@ -239,26 +248,76 @@ def counted(items: DataFrame) -> DataFrame:
     return items.mapInArrow(scan, "item_id long, text string, words long, entries long, terms array<long>").where("words > 0")
 
 
-def indexes(benchmark: DataFrame, shard_items: int | None = None) -> Iterator:
-    """Broadcast indexes of about ``shard_items`` (SHARD_ITEMS) items and pieces each, together all items."""
+def indexes(benchmark: DataFrame, shard_items: int | None = None) -> list[str]:
+    """Files of indexes of about ``shard_items`` (SHARD_ITEMS) items and pieces each, together all items.
+
+    Every index is built by one task from the items of its shard and the counts of their terms, and written to the shared folder; the
+    driver gets the paths.
+    """
     spark = benchmark.sparkSession
-    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
-    items = stored(counted(items), "benchmark-items")
-    total = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("words"), F.lit(0)).alias("words"), F.coalesce(F.sum("entries"), F.lit(0)).alias("entries")).first()
-    seen = stored(items.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")), "benchmark-terms")
-    limit = shard_items or SHARD_ITEMS
-    shards = 1 if total.entries <= limit else -(-total.entries * 5 // (limit * 4))
-    for shard in range(shards):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
-        own = seen.join(part.select(F.explode("terms").alias("term")).distinct(), "term").collect()
-        counts = (total.n, total.words, {r.term % (1 << 64): r.n for r in own})
-        yield spark.sparkContext.broadcast(Index(sorted((r.item_id, r.text) for r in part.select("item_id", "text").collect()), counts))
+    ship(spark)
+    folder = new_folder(spark, "benchmark-index")
+    make_folder(folder)
+    with Scratch() as scratch:
+        items = benchmark.where("item_id is not null and text is not null")
+        items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
+        items = scratch.stored(counted(items), "benchmark-items")
+        total = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("words"), F.lit(0)).alias("words"), F.coalesce(F.sum("entries"), F.lit(0)).alias("entries")).first()
+        limit = shard_items or SHARD_ITEMS
+        shards = 1 if total.entries <= limit else -(-total.entries * 5 // (limit * 4))
+        shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).alias("shard")
+        seen = items.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        of_shard = items.select(shard, F.explode("terms").alias("term")).distinct().join(seen, "term")
+        none = F.lit(None)
+        rows = items.select(shard, "item_id", "text", none.cast("long").alias("term"), none.cast("long").alias("n"))
+        rows = rows.union(of_shard.select("shard", none.cast("long"), none.cast("string"), "term", "n"))
+
+        def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            number, own, counts = None, [], {}
+
+            def done() -> pa.RecordBatch:
+                fs, path = filesystem(folder)
+                name = attempt_name(f"shard-{number:06d}", ".index")
+                with fs.open_output_stream(f"{path}/{name}") as f:
+                    f.write(pickle.dumps(Index(own, (total.n, total.words, counts))))
+                return pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"]})
+
+            for batch in batches:
+                for row in batch.to_pylist():
+                    if row["shard"] != number:
+                        if number is not None:
+                            yield done()
+                        number, own, counts = row["shard"], [], {}
+                    if row["term"] is None:
+                        own.append((row["item_id"], row["text"]))
+                    else:
+                        counts[row["term"] % (1 << 64)] = row["n"]
+            if number is not None:
+                yield done()
+
+        dealt = rows.repartition(min(shards, shuffle_partitions(spark)), "shard").sortWithinPartitions("shard", "item_id", "text")
+        built = scratch.stored(dealt.mapInArrow(build, "path string"), "benchmark-shards")
+        return sorted(r.path for r in built.collect())
+
+
+_loaded: dict[str, Index] = {}
+
+
+def load(path: str) -> Index:
+    """The index of a file, kept until the worker needs another one."""
+    if path not in _loaded:
+        fs, name = filesystem(path)
+        with fs.open_input_stream(name) as f:
+            index = pickle.loads(f.read())  # written by ``indexes``
+        _loaded.clear()
+        _loaded[path] = index
+    return _loaded[path]
 
 
 def verified_hits(ix: Index, column: pa.Array, threshold: float, overlap: float) -> Iterator[tuple]:
     """(row, item_id, score, question overlap, answer overlap, passage) for a column of texts."""
     parts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for i, _, data, offsets in chunks(column):
+    for i, _, data, offsets in chunks(folded(column)):
         words = plain_words(data, offsets)
         spans: dict[tuple[int, int, int], tuple[float, float]] = {}
         for row, passage in ix.may_match(words, threshold):
@@ -290,11 +349,12 @@ def matches(
     ship(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-    def searcher(index):
+    def searcher(path: str):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = load(path)
             for batch in batches:
                 ids = batch.column("doc_id")
-                hits = [(ids[h[0]].as_py(), *h[1:]) for h in verified_hits(index.value, batch.column("text"), threshold, overlap)]
+                hits = [(ids[h[0]].as_py(), *h[1:]) for h in verified_hits(index, batch.column("text"), threshold, overlap)]
                 if hits:
                     kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
                     names = [c.split()[0] for c in HITS.split(", ")]
@@ -302,10 +362,9 @@ def matches(
 
         return run
 
-    found = None
-    for index in indexes(benchmark, shard_items):
-        hits = own.mapInArrow(searcher(index), HITS)
-        found = hits if found is None else found.union(hits)
+    found = docs.sparkSession.createDataFrame([], HITS)
+    for path in indexes(benchmark, shard_items):
+        found = found.union(own.mapInArrow(searcher(path), HITS))
     return found.groupBy("doc_id", "item_id").agg(
         F.max("score").alias("score"), F.max("question_overlap").alias("question_overlap"), F.max("answer_overlap").alias("answer_overlap"),
         F.count(F.lit(1)).alias("passages"),
@@ -318,17 +377,18 @@ def clean_documents(
     """The rows of docs without a verified hit, with all their columns."""
     ship(docs.sparkSession)
 
-    def keeper(index):
+    def keeper(path: str):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = load(path)
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                keep[[h[0] for h in verified_hits(index.value, batch.column("text"), threshold, overlap)]] = False
+                keep[[h[0] for h in verified_hits(index, batch.column("text"), threshold, overlap)]] = False
                 yield batch.filter(pa.array(keep))
 
         return run
 
-    for index in indexes(benchmark, shard_items):
-        docs = docs.mapInArrow(keeper(index), docs.schema)
+    for path in indexes(benchmark, shard_items):
+        docs = docs.mapInArrow(keeper(path), docs.schema)
     return docs
 
 

@@ -8,7 +8,7 @@ good, from the forward-backward recursion, weighted by line length.
 
 Training uses a bounded sample: of the labelled rows outside the held-out fold
 (crc32(doc_id as text) mod 5 = 0), the ``TRAIN_DOCS`` with the least hash of
-doc_id, and of each text the first ``TRAIN_CHARS`` characters. The model is a few hundred numbers; scoring reads
+doc_id, each with its whole text. The model is a few hundred numbers; scoring reads
 every whole text, one pass, no shuffle. Labels, lang, source and doc_id are never features.
 
 Edge cases. A text without words (null, empty, blank) is one empty line with all
@@ -30,7 +30,6 @@ from keelson.llm.common import read, ship
 from keelson.llm.words import Words, chunks, mix
 
 TRAIN_DOCS = 1500
-TRAIN_CHARS = 20_000
 FOLDS = 5
 THRESHOLD = 0.3
 STEPS = 150
@@ -198,7 +197,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Crf | None:
         .limit(TRAIN_DOCS)
     )
     sample = (
-        docs.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, TRAIN_CHARS).alias("text"))
+        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .join(F.broadcast(chosen), "doc_id")  # TRAIN_DOCS rows at most
         .groupBy("doc_id")
         .agg(F.min("text").alias("text"), F.min("quality").alias("quality"))

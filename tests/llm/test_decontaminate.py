@@ -69,6 +69,34 @@ def test_awkward_docs(spark):
     assert sorted(r.doc_id for r in held) == [0, 1, 2, 14]
 
 
+def normal(text):
+    return " " + " ".join("".join(c if c.isalnum() or ord(c) > 127 else " " for c in (text or "").casefold()).split()) + " "
+
+
+def test_upper_case(spark):
+    """Upper case in German, French and Spanish, with letters beyond ASCII."""
+    items = [
+        (1, "Die größte Straße über den Fluß führt nach Österreich und weiter. Die Antwort heißt Zürich."),
+        (2, "Où est né le célèbre écrivain français à l'âge de vingt ans déjà connu ? Réponse : à Besançon près du château."),
+        (3, "¿Cuántos años tenía el niño cuando llegó a la montaña más alta del país? Él tenía ocho años y medio."),
+    ]
+    docs = [(10 * i + k, f"before it some words {f(t)} and after it some more") for i, t in items for k, f in enumerate((str, str.upper, str.lower, str.title))]
+    docs.append((99, "Die Straße nach Österreich ist lang und der Fluß ist breit"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in matches(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got == {(10 * i + k, i) for i, _ in items for k in range(4)}
+
+
+def test_copies_in_any_case(spark):
+    """At sf0.1 every document that holds an item but for case and punctuation is found."""
+    sf = f"{TESTDATA}/sf0.1"
+    items = [(r.item_id, normal(r.text)) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    docs = [(r.doc_id, normal(r.text)) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    want = {(i, k) for i, t in docs for k, x in items if x in t}
+    got = {(r.doc_id, r.item_id) for r in op9_decontaminate(spark, sf).collect()}
+    assert len(want) > 200 and want <= got
+
+
 def test_whole_table(spark):
     """All documents that hold an item word for word, and few others."""
     sf = f"{TESTDATA}/sf0.01"
