@@ -38,7 +38,9 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="keelson-")
         spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder.rstrip("/")
+    # a path without a scheme lies where Hadoop's default file system says, for Spark and for ``filesystem`` alike
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -118,7 +120,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system and path of a URI; plain paths are local or mounted."""
+    """The file system and path of a URI, as ``shared_folder`` gives it."""
     if "://" in uri:
         return pafs.FileSystem.from_uri(uri)
     return pafs.LocalFileSystem(), uri.removeprefix("file:")

@@ -12,8 +12,8 @@ Merging: key ranges are cut from a sample of the runs' keys, and one task
 per range opens all runs, seeks to the start of its range through the sparse index,
 and merges them with a loser tree. Tasks hold one line per run and nothing grows with the
 data. A range may start or end inside a URL, so a URL with a third of all captures is spread over
-many ranges. With more than ``FAN_IN`` runs, groups of runs are merged
-into longer ones first. Ranges in order, and captures in order inside them, are the global
+many ranges. With more than ``FAN_IN`` runs, groups of about FAN_IN runs are merged
+into longer ones first, a task for each group and range, so no pass has fewer tasks than there are ranges. Ranges in order, and captures in order inside them, are the global
 order: columns ``part`` and ``seq``.
 
 Files lie in the shared folder; a task attempt writes its own files and only those
@@ -35,10 +35,11 @@ from datetime import datetime, timedelta, timezone
 from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm.common import attempt_name, filesystem, make_folder, new_folder, read, ship, shuffle_partitions, stored
+from keelson.llm.common import attempt_name, dropped, filesystem, make_folder, new_folder, read, ship, shuffle_partitions, stored
 
 REVISIT_BYTES = 100
 ARCHIVE_BYTES = 1 << 30  # of payload per archive file
@@ -81,6 +82,11 @@ def page_of(record: str) -> int | None:
     return int(text) if text else None
 
 
+def uri(url: str | None) -> str:
+    """A url with what a URI forbids percent-encoded; what is already encoded stays."""
+    return quote((url or "").strip(), safe=":/?#[]@!$&'()*+,;=%-._~")
+
+
 def record_bytes(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
     """One WARC record; ``refers_to`` makes it a revisit without the payload."""
     head = HTTP % len(payload)
@@ -90,7 +96,7 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, refers_to
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
         f"WARC-Record-ID: {record_id(page_id)}",
         f"WARC-Date: {when[:4]}-{when[4:6]}-{when[6:8]}T{when[8:10]}:{when[10:12]}:{when[12:]}Z",
-        f"WARC-Target-URI: {quote(url or '', safe='')}",
+        f"WARC-Target-URI: {uri(url)}",
         f"WARC-Payload-Digest: sha256:{hashlib.sha256(payload).hexdigest()}",
         "Content-Type: application/http;msgtype=response",
     ]
@@ -191,9 +197,10 @@ class LoserTree:
 
 
 def write_run(uri: str, lines: Iterable[str]) -> tuple[int, list[str]]:
-    """Write sorted lines and their sparse index; (captures, indexed lines' keys)."""
+    """Write sorted lines and their sparse index; (captures, the keys of every SPARSE-th from a place of the run's own on)."""
     fs, path = filesystem(uri)
-    sparse, at, n = [], 0, 0
+    sparse, sample, at, n = [], [], 0, 0
+    place = zlib.crc32(uri.encode()) % SPARSE
     with fs.open_output_stream(path) as f:
         buffer = []
         for line in lines:
@@ -201,6 +208,8 @@ def write_run(uri: str, lines: Iterable[str]) -> tuple[int, list[str]]:
                 sparse.append([line.rsplit(" ", 1)[0], at])
                 f.write(b"".join(buffer))
                 buffer = []
+            if n % SPARSE == place:
+                sample.append(line.rsplit(" ", 1)[0])
             data = line.encode() + b"\n"
             buffer.append(data)
             at += len(data)
@@ -208,7 +217,7 @@ def write_run(uri: str, lines: Iterable[str]) -> tuple[int, list[str]]:
         f.write(b"".join(buffer))
     with fs.open_output_stream(path + ".idx") as f:
         f.write(json.dumps(sparse).encode())
-    return n, [s[0] for s in sparse]
+    return n, sample
 
 
 def run_lines(uri: str, first: Key | None, end: Key | None) -> Iterator[str]:
@@ -305,72 +314,100 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
                         page = NO_ID if c["page_id"] is None else c["page_id"]
                         when = "".join(x for x in c["date"] if x.isdigit())
                         rest = json.dumps([c["bytes"], c["digest"], c["type"], c["refers"], archive, offset, length], separators=(",", ":"))
-                        key = url_key(unquoted(c["url"]))
+                        key = url_key(c["url"])
                         lines.append(((key, when, page), f"{key} {when} {page} {rest}"))
                 lines.sort()
                 run = f"{folder}/{attempt_name('run', '.cdx')}"
                 n, keys = write_run(run, (line for _, line in lines))
-                yield pa.RecordBatch.from_pydict({"path": [run], "records": [n], "keys": [keys]})
+                yield pa.RecordBatch.from_pydict({"path": [run], "records": [n], "keys": pa.array([keys], pa.list_(pa.string()))})
 
     n = shuffle_partitions(archives.sparkSession)
     return stored(archives.repartition(n, "path").mapInArrow(index, RUNS), "warc-runs")
 
 
-def unquoted(url: str) -> str | None:
-    from urllib.parse import unquote
+def key_ranges(runs: DataFrame, parts: int) -> list[Key | None]:
+    """Bounds of ``parts`` key ranges that hold about as many captures each: None, the cuts in order, None.
 
-    return unquote(url) or None
+    The sample is one key of SPARSE captures of every run, at a place that differs from run to run, so short runs count as well.
+    """
+    keys = runs.select(F.explode("keys").alias("key"))
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            n = batch.num_rows
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part] * n, pa.int32()), "at": pa.array(range(at, at + n), pa.int64()), "key": batch.column("key")})
+            at += n
+
+    n = shuffle_partitions(runs.sparkSession)
+    ranked = stored(keys.repartitionByRange(n, "key").sortWithinPartitions("key").mapInArrow(number, "part int, at long, key string"), "warc-keys")
+    sizes = {r.part: r.n for r in ranked.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(sizes.values())
+    if not total:
+        return [None, None]
+    step, before, cuts = max(1, -(-total // parts)), 0, []
+    wanted = F.lit(False)
+    for part in sorted(sizes):
+        first = -before % step  # the first place in this part whose rank is a multiple of step
+        wanted = wanted | ((F.col("part") == part) & (F.col("at") % step == first % step) & (F.col("at") + before > 0))
+        before += sizes[part]
+    cuts = sorted({line_key(r.key + " ") for r in ranked.where(wanted).select("key").collect()})  # one per range
+    dropped(ranked)
+    return [None, *cuts, None]
+
+
+def merged_range(paths: list[str], bounds: list[Key | None], part: int) -> Iterator[str]:
+    """The lines of runs in one key range, in order."""
+    return iter(LoserTree([run_lines(p, bounds[part], bounds[part + 1]) for p in paths], line_key))
+
+
+def merge_pass(pieces: DataFrame, bounds: list[Key | None], folder: str) -> DataFrame:
+    """Merge the runs of each (part, group) into one longer run of that key range: (part, path, records), a task each."""
+    ship(pieces.sparkSession)
+    shared = pieces.sparkSession.sparkContext.broadcast(bounds)  # one key per range
+
+    def lengthen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, paths in zip(batch.column("part").to_pylist(), batch.column("paths").to_pylist(), strict=True):
+                run = f"{folder}/{attempt_name(f'run-{part:06d}', '.cdx')}"
+                n, _ = write_run(run, merged_range(sorted(paths), shared.value, part))
+                yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "path": [run], "records": [n]})
+
+    grouped = pieces.groupBy("part", "group").agg(F.collect_list("path").alias("paths"))
+    n = pieces.select("part", "group").distinct().count()
+    return stored(grouped.repartition(max(1, n), "part", "group").mapInArrow(lengthen, "part int, path string, records long"), "warc-longer")
 
 
 def merge_runs(runs: DataFrame, folder: str, fan_in: int = FAN_IN, parts: int | None = None) -> DataFrame:
-    """All captures in global order, by loser-tree merges of the runs."""
+    """All captures in global order, by loser-tree merges of the runs, every pass cut into key ranges."""
     spark = runs.sparkSession
     ship(spark)
-    paths = [r.path for r in runs.select("path").orderBy("path").collect()]  # one short name per archive
-    keys = runs.select(F.explode("keys").alias("key"))
-    while len(paths) > fan_in:
-        groups = [paths[i : i + fan_in] for i in range(0, len(paths), fan_in)]
-
-        def lengthen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for group in batch.column("group").to_pylist():
-                    run = f"{folder}/{attempt_name('run', '.cdx')}"
-                    n, sample = write_run(run, LoserTree([run_lines(p, None, None) for p in group], line_key))
-                    yield pa.RecordBatch.from_pydict({"path": [run], "records": [n], "keys": [sample]})
-
-        grouped = spark.createDataFrame([(g,) for g in groups], "group array<string>").repartition(len(groups))
-        longer = stored(grouped.mapInArrow(lengthen, RUNS), "warc-longer")
-        paths = [r.path for r in longer.select("path").orderBy("path").collect()]
-
-    parts = parts or shuffle_partitions(spark)
-    # cut the keys into ranges of as many captures: sort the sample, take every step-th
-    total = keys.count()
-    step = max(1, -(-total // parts))
-    ranked = keys.orderBy("key").rdd.zipWithIndex()
-    cuts = sorted({line_key(r.key + " ") for r, i in ranked.filter(lambda x: x[1] and x[1] % step == 0).collect()}) if total else []
-    bounds = [None, *cuts, None]
-    at = spark.sparkContext.broadcast((paths, bounds))  # one name per run, one key per range
+    n = runs.count()
+    bounds = key_ranges(runs, parts or shuffle_partitions(spark))
+    pieces = runs.select(F.explode(F.sequence(F.lit(0), F.lit(len(bounds) - 2))).alias("part"), "path")
+    while n > fan_in:
+        n = -(-n // fan_in)
+        before, pieces = pieces, merge_pass(pieces.withColumn("group", F.pmod(F.xxhash64("path"), F.lit(n))), bounds, folder).select("part", "path")
+        dropped(before)
+    shared = spark.sparkContext.broadcast(bounds)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        paths, bounds = at.value
         for batch in batches:
-            for part in batch.column("id").to_pylist():
-                first, end = bounds[part], bounds[part + 1]
+            for part, paths in zip(batch.column("part").to_pylist(), batch.column("paths").to_pylist(), strict=True):
                 rows: list[tuple] = []
-                seq = 0
-                for line in LoserTree([run_lines(p, first, end) for p in paths], line_key):
+                for seq, line in enumerate(merged_range(sorted(paths), shared.value, part)):
                     key, when, page, rest = line.split(" ", 3)
                     page = None if int(page) == NO_ID else int(page)
                     rows.append((part, seq, key, when, page, *json.loads(rest)))
-                    seq += 1
                     if len(rows) == 4096:
                         yield as_batch(rows)
                         rows = []
                 if rows:
                     yield as_batch(rows)
 
-    ranges = len(bounds) - 1 if paths else 0
-    return spark.range(0, ranges, 1, max(1, ranges)).mapInArrow(merge, CAPTURES)
+    # one row per range, with the names of its runs; stored, so that ranges are one task each
+    ranges = stored(pieces.groupBy("part").agg(F.collect_list("path").alias("paths")), "warc-ranges")
+    return ranges.repartition(len(bounds) - 1, "part").mapInArrow(merge, CAPTURES)
 
 
 def as_batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -7,8 +7,9 @@ import hashlib
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from keelson.llm.common import new_folder
-from keelson.llm.warc import NO_ID, PAGES, LoserTree, captures, merge_runs, op1_warc, read_archives, write_archives
+from keelson.llm import warc
+from keelson.llm.common import CHECKPOINT_KEY, filesystem, make_folder, new_folder, shared_folder, stored
+from keelson.llm.warc import NO_ID, PAGES, LoserTree, captures, merge_pass, merge_runs, op1_warc, read_archives, uri, write_archives
 from tests.conftest import TESTDATA
 
 
@@ -53,6 +54,54 @@ def test_awkward_pages(spark):
     assert captures(df.limit(0)).count() == 0
 
 
+def test_passes_are_balanced(spark, monkeypatch):
+    """Three passes over 27 runs: every pass has a task for each group and range, and no range has over twice the mean."""
+    monkeypatch.setattr(warc, "SPARSE", 16)
+    urls = [f"http://h{i % 3}/{'hot' if i % 3 else i}" for i in range(3000)]
+    df = spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(urls)], PAGES).repartition(27)
+    folder = new_folder(spark, "warc-test")
+    make_folder(folder)
+    lines = sorted((warc.url_key(u), warc.timestamp(i), i) for i, u in enumerate(urls))
+    runs = []
+    for k in range(27):
+        n, keys = warc.write_run(f"{folder}/run-{k}.cdx", [f"{a} {b} {c} []" for a, b, c in lines[k::27]])
+        runs.append((f"{folder}/run-{k}.cdx", n, keys))
+    runs = spark.createDataFrame(runs, warc.RUNS)
+    bounds = warc.key_ranges(runs, 4)
+    assert len(bounds) == 5 and bounds[1:-1] == sorted(bounds[1:-1])
+    pieces, n = runs.selectExpr("explode(sequence(0, 3)) as part", "path"), runs.count()
+    assert n == 27
+    for groups in (9, 3):
+        longer = merge_pass(pieces.selectExpr("part", "path", f"pmod(xxhash64(path), {groups}) as group"), bounds, folder)
+        per_range = [r.n for r in longer.groupBy("part").agg({"records": "sum"}).toDF("part", "n").collect()]
+        assert sum(per_range) == 3000 and len(per_range) == 4 and max(per_range) <= 2 * 3000 / 4
+        assert longer.count() > 4 * groups // 2
+        pieces = longer.select("part", "path")
+    runs = read_archives(write_archives(df, folder), folder)
+    assert result(merge_runs(runs, folder, fan_in=3, parts=4)) == expected([(i, u, f"page {i}") for i, u in enumerate(urls)])
+
+
+def test_target_uri():
+    assert uri("http://a.b/c d?x=%20é#f") == "http://a.b/c%20d?x=%20%C3%A9#f" and uri(None) == "" and uri(" u\n\tv") == "u%0A%09v"
+    record = warc.record_bytes(1, "http://a.b/c d", b"x", None)
+    assert b"\r\nWARC-Target-URI: http://a.b/c%20d\r\n" in record and warc.parse(record)["url"] == "http://a.b/c%20d"
+
+
+def test_shared_folder_without_a_scheme(spark, tmp_path):
+    """Spark and the file writers mean the same place, the one of Hadoop's default file system."""
+    before, hadoop = shared_folder(spark), spark._jsc.hadoopConfiguration()
+    try:
+        spark.conf.set(CHECKPOINT_KEY, str(tmp_path))
+        table = stored(spark.range(5), "place")
+        fs, path = filesystem(table._keelson_path)
+        assert path.startswith(str(tmp_path)) and fs.get_file_info(path + "/_SUCCESS").is_file
+        hadoop.set("fs.defaultFS", "hdfs://127.0.0.1:9")
+        assert shared_folder(spark) == f"hdfs://127.0.0.1:9{tmp_path}"
+    finally:
+        hadoop.unset("fs.defaultFS")
+        spark.conf.set(CHECKPOINT_KEY, before)
+
+
 def test_whole_table_and_passes(spark):
     """A fan-in of 2 over many runs needs several passes and gives the same order."""
     sf = f"{TESTDATA}/sf0.001"
