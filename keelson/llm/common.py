@@ -24,6 +24,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_own_folders: dict[str, str] = {}  # of local sessions, by application
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
@@ -36,8 +39,10 @@ def shared_folder(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not (master == "local" or master.startswith("local[")):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="keelson-")
-        spark.conf.set(CHECKPOINT_KEY, folder)
+        app = spark.sparkContext.applicationId
+        if app not in _own_folders:
+            _own_folders[app] = "file://" + tempfile.mkdtemp(prefix="keelson-")
+        folder = _own_folders[app]
     # a path without a scheme lies where Hadoop's default file system says, for Spark and for ``filesystem`` alike
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")

@@ -7,8 +7,8 @@ import hashlib
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from keelson.llm import warc
-from keelson.llm.common import CHECKPOINT_KEY, filesystem, make_folder, new_folder, shared_folder, stored
+from keelson.llm import common, warc
+from keelson.llm.common import filesystem, make_folder, new_folder, shared_folder, stored
 from keelson.llm.warc import NO_ID, PAGES, LoserTree, captures, merge_pass, merge_runs, op1_warc, read_archives, uri, write_archives
 from tests.conftest import TESTDATA
 
@@ -87,19 +87,20 @@ def test_target_uri():
     assert b"\r\nWARC-Target-URI: http://a.b/c%20d\r\n" in record and warc.parse(record)["url"] == "http://a.b/c%20d"
 
 
-def test_shared_folder_without_a_scheme(spark, tmp_path):
+def test_shared_folder_without_a_scheme(spark, tmp_path, monkeypatch):
     """Spark and the file writers mean the same place, the one of Hadoop's default file system."""
-    before, hadoop = shared_folder(spark), spark._jsc.hadoopConfiguration()
+    monkeypatch.setattr(common, "CHECKPOINT_KEY", "keelson.test.folder")
+    hadoop = spark._jsc.hadoopConfiguration()
+    spark.conf.set("keelson.test.folder", str(tmp_path))
+    table = stored(spark.range(5), "place")
+    fs, path = filesystem(table._keelson_path)
+    assert path.startswith(str(tmp_path)) and fs.get_file_info(path + "/_SUCCESS").is_file
     try:
-        spark.conf.set(CHECKPOINT_KEY, str(tmp_path))
-        table = stored(spark.range(5), "place")
-        fs, path = filesystem(table._keelson_path)
-        assert path.startswith(str(tmp_path)) and fs.get_file_info(path + "/_SUCCESS").is_file
         hadoop.set("fs.defaultFS", "hdfs://127.0.0.1:9")
         assert shared_folder(spark) == f"hdfs://127.0.0.1:9{tmp_path}"
     finally:
         hadoop.unset("fs.defaultFS")
-        spark.conf.set(CHECKPOINT_KEY, before)
+        spark.conf.unset("keelson.test.folder")
 
 
 def test_whole_table_and_passes(spark):
