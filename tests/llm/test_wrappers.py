@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import html
+import random
 import re
 
-from keelson.llm.wrappers import content_paths, expression, extract, main_text, merge, op6_main_text, page_wrapper
+import pytest
+
+from keelson.llm import wrappers
+from keelson.llm.wrappers import blocks, common, content_paths, expression, extract, main_text, merge, op6_main_text, packed, page_wrapper, unpacked
 from tests.conftest import TESTDATA
 
 
 def alone(page):
-    return main_text(page, set(content_paths(page_wrapper(page))))
+    return main_text(page, None)
 
 
 def test_repeats_options_and_slots():
@@ -74,3 +78,107 @@ def test_end_tags_left_out():
     ):
         assert alone(f"<body>{before}{article}<p>end</body>") == "one\n\ntwo", before
     assert alone("<article><p>a <svg><title>t</title><text>no</text></svg> b</p><select><option>x</select><p>c</article>") == "a\n\nb\n\nc"
+
+
+def extracted(spark, pages):
+    """Texts of (url, html) by the whole operator, in the given order."""
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string").repartition(3)
+    return [r.text for r in sorted(extract(df).collect(), key=lambda r: r.page_id)]
+
+
+ARTICLE = "<article><h1>Head</h1><p>one</p><p class='social-policy'>two</p><p class='side-effects alert-level'>three</p></article>"
+
+
+def test_class_names(spark):
+    """Names of states and of layouts do not mark an element, names of parts do."""
+    fine = ["page no-sidebar", "layout has-header has-footer", "menu-closed", "is-nav-open", "with-sidebar", "without-comments", "sidebar-hide", "cookies-off", "socialism", "padded", "adventure", "headline"]
+    pages = [("http://h/", f"<body class='{c}'><div class='{c}' id='{c}'>{ARTICLE}</div></body>") for c in fine]
+    marked = ["sidebar", "site-footer", "comment-list", "cookie-banner", "share-buttons", "related-posts", "main-nav", "ad", "top-ad", "newsletter-box", "breadcrumbs", "widget-area", "no-js social"]
+    pages += [(f"http://g{i}/", f"<body><div class='x {c}'><p>beside it</p></div>{ARTICLE}<div id='{c}'>more</div></body>") for i, c in enumerate(marked)]
+    assert extracted(spark, pages) == ["Head\n\none\n\ntwo\n\nthree"] * len(pages)
+
+
+def test_marked_element_that_holds_the_article(spark):
+    teaser = "<aside><article><p>teaser</p></article></aside>"
+    pages = [
+        ("http://a/", "<div class='sidebar'><p>a</p><article><p>the whole long text of the article</p></article></div><p>end</p>"),
+        ("http://b/", "<form id='form'><nav>menu</nav><main><p>the whole long text</p></main></form>"),
+        ("http://c/", f"<div id=content><p>a long text that is not in any article element at all</p><p>and more of it</p></div>{teaser}"),
+        ("http://d/", f"{ARTICLE}{teaser}"),
+        ("http://e/", "<div class='menu'><main><p>left open, the text goes on and on"),
+    ]
+    want = ["the whole long text of the article", "the whole long text", "a long text that is not in any article element at all\n\nand more of it", "Head\n\none\n\ntwo\n\nthree", "left open, the text goes on and on"]
+    assert extracted(spark, pages) == want
+
+
+def test_deep_pages_do_not_fail_a_job(spark):
+    deep = [("http://deep/", "<div>" * n + "<p>deep text</p>" + "</div>" * n) for n in (350, 1000, 5000, 100_000)]
+    deep += [("http://other/", "<article>" + "<section><p>x</p>" * 3000), ("http://other/", "<article>" + "<section><p>y</p>" * 2000)]
+    got = extracted(spark, deep)
+    assert got[:4] == ["deep text"] * 4 and got[4] == "\n\n".join("x" * 3000) and got[5] == "\n\n".join("y" * 2000)
+
+
+def host_page(i, r):
+    """A page of a host without article or main, and its text: slots between template paragraphs, an optional one, a repeated one, linked lists."""
+    words = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    title, first, date = words(4), words(30), words(2)
+    body = [words(25) for _ in range(r.randrange(2, 6))]
+    quote = words(12) if i % 3 == 0 else None
+    page = f"""<html><body class="no-sidebar"><div class=top><a href=/>Home</a> <a href=/x>Contact</a></div><div class=wrap><div class="text post-{i}">
+    <h1>{title}</h1><p>Written by the staff of the Daily Example</p><p>{first}</p><div class=date>{date}</div>
+    {f'<blockquote>{quote}</blockquote>' if quote else ''}{''.join(f'<p>{b}' for b in body)}
+    <p>Please read our guide before you write to us.</p><ul><li><a href=a>{words(3)}</a><li><a href=b>{words(3)}</a></ul></div>
+    <div class=more><a href=1>{words(5)}</a><a href=2>{words(4)}</a></div></div><div class=end>All rights reserved.</div></body></html>"""
+    return page, "\n\n".join([title, first, date, *([quote] if quote else []), *body])
+
+
+def test_host_without_article(spark):
+    """20 pages: their slots and nothing of the template."""
+    r = random.Random(6)
+    pages = [host_page(i, r) for i in range(20)]
+    assert extracted(spark, [("http://daily/" + str(i), p) for i, (p, _) in enumerate(pages)]) == [t for _, t in pages]
+    # pages that are all alike have no template to tell from text
+    alike = "<body><div><p>a text of some length, the same on every page</p><p>and a second part</p></div></body>"
+    assert extracted(spark, [("http://alike/", alike)] * 5) == ["a text of some length, the same on every page\n\nand a second part"] * 5
+
+
+def test_matching_by_position():
+    """The same path inside and outside a repeated group: the expression tells them apart."""
+    a = page_wrapper("<div><p>t</p><pre>u</pre><h2>a</h2><p>1</p><h2>b</h2><p>2</p></div>")
+    b = page_wrapper("<div><p>t</p><pre>v</pre><h2>c</h2><p>3</p><h2>d</h2><p>4</p><h2>e</h2><p>5</p></div>")
+    both = merge(a, b)
+    assert expression(both) == "<div><p>=</p><pre>#</pre>(<h2>#</h2><p>#</p>)+</div>"
+    r = wrappers.Reader(wrappers.reader_text(both))
+    assert r.text("<div><p>t</p><pre>w</pre><h2>x</h2><p>t</p></div>") == "w\n\nx\n\nt"  # the template text is left out in its own place only
+    assert r.text("<div><p>other</p><pre>w</pre><h2>x</h2><p>6</p><h2>y</h2><p>7</p></div>") == "other\n\nw\n\nx\n\n6\n\ny\n\n7"
+
+
+def test_long_lists_are_aligned_exactly(monkeypatch):
+    def longest(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        return best[-1][-1]
+
+    r = random.Random(1)
+    for rows in (1, 4, 256):
+        monkeypatch.setattr(wrappers, "ROWS", rows)
+        for _ in range(300):
+            a, b = ([r.choice("abcd") for _ in range(r.randrange(25))] for _ in range(2))
+            got = common(a, b)
+            assert len(got) == longest(a, b) and all(a[i] == b[j] for i, j in got)
+            assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:], strict=False))
+    a = [f"x{i}" for i in range(5000)]
+    assert len(common(a, ["new", *a[:2500], "z", *a[2500:]])) == 5000  # shifted by one
+
+
+def test_wrappers_round_trip():
+    for page in ("", "<p>a<p>b", "<div><ul><li>a<li>b</ul><table><tr><td>1<td>2<tr><td>3</table></div>"):
+        one = page_wrapper(page)
+        assert packed(unpacked(packed(one))) == packed(one) and expression(unpacked(packed(one))) == expression(one)
+
+
+@pytest.mark.parametrize("page", ["<p><a href=x>link</p><p>plain text</p>", "<div><a>link<a>second</div><p>plain text</p>"])
+def test_unclosed_links_end_with_their_block(page):
+    assert [(t, n) for label, t, n in blocks(page) if isinstance(t, str)][-1] == ("plain text", 0)
