@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 
-from keelson.llm.substrings import NONE, ORACLE_SQL, SuffixAutomaton, op7_substring_dedup, remove_repeats
+from keelson.llm.substrings import NONE, ORACLE_SQL, SuffixAutomaton, op7_substring_dedup, remove_repeats, repeated_windows
 from tests.conftest import TESTDATA, duckdb_on
 from tests.llm.helpers import awkward_docs, words
 
@@ -57,6 +57,30 @@ def test_shared_passages(spark):
     assert got == brute(texts)
 
 
+def test_hot_runs(spark):
+    """A run of 5 words in many contexts: with shards of a few words its segments are taken apart, to the same result."""
+    r = random.Random(5)
+    run, near = ["r1", "r2", "r3", "r4", "r5"], [[f"c{k}w{j}" for j in range(9)] for k in range(6)]
+    texts = []
+    for i in range(150):
+        parts = [f"d{i}x{j}" for j in range(3)]
+        for _ in range(2):
+            before, after = r.choice(near), r.choice(near)
+            parts += before[r.randrange(9) :] + run + after[: r.randrange(9)] + [f"d{i}y{r.randrange(9)}"] * r.randrange(2)
+        texts.append((i, " ".join(parts)))
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    want = {i: {k for k in range(len(words(t)) - 12)} for i, t in texts}
+    first = {}
+    for i, t in texts:
+        for k in want[i]:
+            first.setdefault(tuple(words(t)[k : k + 13]), i)
+    want = {i: {k for k in ks if first[tuple(words(dict(texts)[i])[k : k + 13])] < i} for i, ks in want.items()}
+    for shard_words in (40, 400, 10**6):
+        got = {x.doc_id: set(x.starts) for x in repeated_windows(df, shard_words).collect()}
+        assert got == {i: ks for i, ks in want.items() if ks}
+    assert sum(map(len, want.values())) > 300
+
+
 def test_awkward_docs(spark):
     df, texts = awkward_docs(spark)
     rows = remove_repeats(df).collect()
