@@ -10,7 +10,7 @@ is left are taken from the texts it makes.
 Scale. The text is read twice. First a document becomes its distinct lines as hashes. Line counts are
 combined before the shuffle; a line that stands in a third of all documents is one row per task. Marked lines are joined back
 with stored tables on both sides, which AQE splits where a line is hot, and gathered per (host, text); by that key they meet
-the texts, which are shuffled once unless AQE broadcasts the marked side; it splits the copies of one text.
+the texts in a sort-merge join, for which the texts are shuffled once; AQE splits the copies of one text.
 
 Edge cases. Null and wordless texts have no words: all counts 0, base_failed, not kept. A
 null source is a host of its own. Repeated rows each get a result; they count once
@@ -130,7 +130,8 @@ def removed(docs: DataFrame, columns: list[str], min_docs: int) -> DataFrame:
     """doc (a struct of columns), the text that is left, and the counts of every row of docs."""
     ship(docs.sparkSession)
     rows = _rows(docs, columns)
-    met = rows.join(marked_lines(rows, min_docs), ["host", "text_key"], "left").select("doc", "text", "marked")
+    # the marked side grows with the table, so it is never broadcast: the plan is the same at every size
+    met = rows.join(marked_lines(rows, min_docs).hint("merge"), ["host", "text_key"], "left").select("doc", "text", "marked")
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines_removed", "n_words_removed")
     schema = StructType([met.schema["doc"], StructField("left", StringType()), *[StructField(c, LongType()) for c in counts]])
 
