@@ -14,7 +14,9 @@ aggregation over it. Rounding needs no sort either: a document has one hash
 number ``u``, gets ``floor(rate)`` copies, and one more where ``u - frac(rate)`` is
 below the source's threshold; two histogram passes over all documents find the threshold
 at which the taken words meet the target, and one document per source is turned to close the rest. No window or group ever holds a source's documents:
-windows run over sources, and over at most 4,096 bins of a source.
+windows run over ranges of sources, and over at most 4,096 bins of a source. Ranks and fill-up levels of the sources are prefix sums over range
+partitions. Sums of the dual are in fixed point, so a rerun gives the same rates whatever the order of its partitions; a dual
+that Newton's steps do not solve is an error.
 
 DataFrame functions only: no Python runs on executors.
 
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from keelson.llm.common import WORD, dropped, read, stored
+from keelson.llm.common import WORD, dropped, read, shuffle_partitions, stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5  # words taken, over the words there are
@@ -50,29 +52,45 @@ def sized(docs: DataFrame) -> DataFrame:
     return docs.select(*sized_columns())
 
 
+def _exact(x: Column) -> Column:
+    """Fixed-point, so that a sum does not depend on the order of its terms."""
+    return x.cast("decimal(38,9)")
+
+
+def sums_before(rows: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """Rows with, per name, the exact sum of a column over all rows that come earlier in the order.
+
+    The rows are range-partitioned and summed inside each range; only one row per range passes through a single task.
+    """
+    ranges = stored(rows.repartitionByRange(shuffle_partitions(rows.sparkSession), *order).withColumn("range", F.spark_partition_id()), "mix-ranges")
+    earlier = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    totals = ranges.groupBy("range").agg(*[F.sum(_exact(c)).alias(name) for name, c in sums.items()])
+    bases = totals.select(F.col("range").alias("of"), *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"{name}_base") for name in sums])
+    inside = W.partitionBy("range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    own = ranges.select("*", *[F.coalesce(F.sum(_exact(c)).over(inside), F.lit(0)).alias(f"{name}_own") for name, c in sums.items()])
+    found = own.join(F.broadcast(bases), F.col("range") == F.col("of"))  # a row for each range
+    out = stored(found.select(*rows.columns, *[(F.col(f"{name}_own") + F.col(f"{name}_base")).cast("double").alias(name) for name in sums]), "mix-sums")
+    dropped(ranges)
+    return out
+
+
 def targets(per_source: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """Add k (rank of the source) and target to (source, source_size).
 
     Filling up: with sources by limit over weight, those before the first
     source whose share of the rest fits its limit get their limit, the others
-    the rest by weight. One row per source passes through the windows.
+    the rest by weight. Two numbers come to the driver.
     """
-    by_name = W.orderBy(F.col("source").asc_nulls_last())
-    ratio = W.orderBy("ratio", "k")
-    up_to = ratio.rowsBetween(W.unboundedPreceding, -1)
-    rest = ratio.rowsBetween(W.currentRow, W.unboundedFollowing)
-    ranked = per_source.withColumn("k", F.row_number().over(by_name))
+    ranked = sums_before(per_source, [F.col("source").asc_nulls_last()], {"rank": F.lit(1)})
+    ranked = ranked.select("source", "source_size", (F.col("rank") + 1).cast("int").alias("k"))
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.col("k") - 1, F.lit(len(weights))) + 1).cast("int"))
-    everything = W.partitionBy()
-    level = (
-        ranked.withColumn("weight", weight)
-        .withColumn("limit", F.col("source_size") * F.lit(cap))
-        .withColumn("ratio", F.col("limit") / F.col("weight"))
-        .withColumn("total", F.sum("source_size").over(everything) * F.lit(share))
-        .withColumn("level", (F.col("total") - F.coalesce(F.sum("limit").over(up_to), F.lit(0.0))) / F.sum("weight").over(rest))
-        .withColumn("level", F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("ratio", "k", "level"))).over(everything)["level"])
-    )
-    return level.select("source", "k", "source_size", F.least("limit", F.col("level") * F.col("weight")).alias("target"))
+    ranked = ranked.withColumn("weight", weight).withColumn("limit", F.col("source_size") * F.lit(cap)).withColumn("ratio", F.col("limit") / F.col("weight"))
+    whole = ranked.agg(F.sum("source_size").alias("words"), F.sum(_exact(F.col("weight"))).cast("double").alias("weight")).first()
+    filled = sums_before(ranked, [F.col("ratio"), F.col("k")], {"limits": F.col("limit"), "weights": F.col("weight")})
+    level = (F.lit(float(whole.words or 0) * share) - F.col("limits")) / (F.lit(float(whole.weight or 1)) - F.col("weights"))
+    fits = filled.withColumn("level", level).where(F.col("level") <= F.col("ratio")).agg(F.min(F.struct("ratio", "k", "level")).alias("m")).first()
+    target = F.col("limit") if fits.m is None else F.least("limit", F.lit(fits.m.level) * F.col("weight"))
+    return filled.select("source", "k", "source_size", target.alias("target"))
 
 
 def _rate(lam: Column, x: Column, cap: float) -> Column:
@@ -108,8 +126,8 @@ def solve(hist: DataFrame, goals: DataFrame, cap: float = CAP) -> DataFrame:
             .join(state.where("not done"), "k")
             .groupBy("k")
             .agg(
-                F.sum(mass * tilt).alias("got"),
-                F.sum(F.when(tilt < cap, mass * x * tilt).otherwise(0.0)).alias("slope"),
+                F.sum(_exact(mass * tilt)).cast("double").alias("got"),
+                F.sum(_exact(F.when(tilt < cap, mass * x * tilt).otherwise(0.0))).cast("double").alias("slope"),
             )
         )
         gap = F.col("got") - F.col("target")
@@ -130,6 +148,9 @@ def solve(hist: DataFrame, goals: DataFrame, cap: float = CAP) -> DataFrame:
         )
         before, state = state, stored(stepped, "mix-state")
         dropped(before)
+    else:
+        if not state.where("not done").isEmpty():
+            raise RuntimeError(f"the dual of some source is not solved after {MAX_STEPS} Newton steps")
     return state.select("k", "mean", "target", F.when(~F.col("full"), F.col("lam")).alias("lam"))
 
 

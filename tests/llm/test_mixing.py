@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 
+import pytest
+
+from keelson.llm import mixing
 from keelson.llm.mixing import mix, mixed_documents, op5_mixing
 from tests.conftest import TESTDATA
 from tests.llm.helpers import awkward_docs, words
@@ -65,3 +69,48 @@ def test_one_hot_source(spark):
     """One source with nine tenths of the words; sizes from 1 to 2,000."""
     docs = [(i, "hot" if i % 10 else f"cold{i % 7}", " ".join(["w"] * (1 + i * i % 2000))) for i in range(600)]
     check(mix(spark.createDataFrame(docs, "doc_id long, source string, text string")).collect(), docs)
+
+
+def test_rates_are_the_optimum(spark):
+    """Per source the tilt of a bisection over its documents, one at a time."""
+    sf = f"{TESTDATA}/sf0.01"
+    rows = mix(spark.read.parquet(f"{sf}/documents.parquet")).collect()
+    of = defaultdict(list)
+    for r in rows:
+        if r.size:
+            of[r.source].append(r)
+    for own in of.values():
+        mean = sum(r.size for r in own) / len(own)
+        rate = lambda lam, r: min(2.0, math.exp(min(50.0, lam * r.size / mean)))  # noqa: B023, E731
+        if own[0].target >= 2 * own[0].source_size * (1 - 1e-12):
+            assert all(r.rate == 2 for r in own)
+            continue
+        low, high = -1e4, 1e4
+        for _ in range(200):
+            lam = (low + high) / 2
+            low, high = (lam, high) if sum(rate(lam, r) * r.size for r in own) < own[0].target else (low, lam)
+        assert all(abs(rate(lam, r) - r.rate) < 1e-6 for r in own)
+
+
+def test_rates_do_not_depend_on_the_partitions(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
+    rates = [sorted((r.doc_id, r.rate, r.copies, r.target) for r in mix(docs.repartition(n, "doc_id") if n else docs).collect()) for n in (0, 1, 3, 17)]
+    assert all(x == rates[0] for x in rates)
+
+
+def test_many_sources(spark):
+    """Ranks and fill-up levels over ranges of sources, with ties, small ones and a null."""
+    sizes = {f"s{i:05d}": (i * 7919) % 97 * (i % 5 + 1) for i in range(5000)} | {None: 50, "a": 10**6}
+    rows = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, source_size long").repartition(5)
+    want = targets(sizes)
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None]
+    got = {r.source: r for r in mixing.targets(rows).collect()}
+    assert {s: r.k for s, r in got.items()} == {s: i for i, s in enumerate(names, 1)}
+    assert all(abs(got[s].target - want[s]) <= 1e-6 * (1 + want[s]) for s in sizes)
+
+
+def test_an_unsolved_dual_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_STEPS", 1)
+    docs = [(i, f"s{i % 3}", "w " * (1 + i * i % 200)) for i in range(60)]
+    with pytest.raises(RuntimeError, match="not solved"):
+        mix(spark.createDataFrame(docs, "doc_id long, source string, text string"))
