@@ -242,10 +242,11 @@ def classes(docs: DataFrame, scratch: Scratch) -> Classes:
     ordered = prefixes(own, hot).join(reps.select("rid", "cls"), ["rid", "cls"], "left_semi").dropDuplicates(["rid", "cls"])
     ordered = scratch.stored(ordered.select("cls", "n", "tokens"), "join-heads")
     listed = ordered.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).cast("int").alias("listed")).where("listed > 1")
+    listed = scratch.stored(listed, "join-listed")  # joins with stored tables on both sides are split by AQE where a key is hot
     one = F.col("n") - F.ceil(F.col("n") * NUMERATOR / F.lit(DENOMINATOR)) + 1
     tokens = ordered.select("cls", "n", F.posexplode("tokens").alias("pos", "token")).select("cls", "n", "token", (F.col("pos") < one).alias("own"))
     shared = scratch.stored(tokens.join(listed, "token"), "join-lists")
-    scratch.drop(ordered)
+    scratch.drop(ordered, listed)
     upto = boundary(shared)
 
     light = shared.where(F.col("n") <= upto).groupBy("cls", "n").agg(F.sort_array(F.collect_set("token")).alias("t")).where("size(t) > 1")
@@ -258,9 +259,9 @@ def classes(docs: DataFrame, scratch: Scratch) -> Classes:
     scanned = shared.where(F.col("own") & (F.col("n") >= int(upto * NUMERATOR / DENOMINATOR)))
     lists = scanned.select(F.col("token").alias("key"), "cls", "n", (F.col("n") > upto).alias("heavy"), F.lit(True).alias("scan"))
     keys = scratch.stored(subsets.union(lists), "join-entries")
-    members = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    members = scratch.stored(keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "join-members")
     sized = scratch.stored(keys.join(members, "key"), "join-keys")
-    scratch.drop(shared, keys)
+    scratch.drop(shared, keys, members)
     return Classes(own, documents, reps, sized)
 
 
@@ -310,7 +311,7 @@ class Verifier:
         return out
 
 
-def _proposed(keys: DataFrame) -> DataFrame:
+def _proposed(keys: DataFrame, scratch: Scratch) -> DataFrame:
     """Distinct pairs (a, b): all of a small key, those with the pivot (the least hash) of a dense one."""
     small = keys.where(F.col("members") <= DENSE)
     x, y = small.alias("x"), small.alias("y")
@@ -318,7 +319,8 @@ def _proposed(keys: DataFrame) -> DataFrame:
     fits = F.expr("x.cls < y.cls and (not x.scan or x.heavy or y.heavy)") & _similar_sizes(F.col("x.n"), F.col("y.n"))
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & fits).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
     dense = keys.where(F.col("members") > DENSE)
-    pivot = dense.groupBy("key").agg(F.min_by(F.struct("cls", "n"), F.xxhash64("cls")).alias("p")).select("key", F.col("p.cls").alias("a"), F.col("p.n").alias("na"))
+    pivot = dense.groupBy("key").agg(F.min_by(F.struct("cls", "n"), F.xxhash64("cls")).alias("p"))
+    pivot = scratch.stored(pivot.select("key", F.col("p.cls").alias("a"), F.col("p.n").alias("na")), "join-pivots")
     spokes = dense.join(pivot, "key").where((F.col("cls") != F.col("a")) & _similar_sizes(F.col("n"), F.col("na")))
     return pairs.union(spokes.select(F.least("a", "cls"), F.greatest("a", "cls"))).distinct()
 
@@ -369,6 +371,7 @@ def _open_pairs(keys: DataFrame, root: DataFrame, c: Classes, scratch: Scratch)
     dense = keys.where(F.col("members") > DENSE).join(root, F.col("cls") == F.col("v"), "left").select("key", "cls", "n", "heavy", "scan", F.coalesce("root", "cls").alias("root"))
     dense = scratch.stored(dense, "join-placed")
     several = dense.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo != hi").select("key", "m")
+    several = scratch.stored(several, "join-several")
     rows = dense.join(several, "key").join(c.reps.select("cls", "parity"), "cls")
     ship(rows.sparkSession)
 
@@ -404,13 +407,13 @@ def _open_pairs(keys: DataFrame, root: DataFrame, c: Classes, scratch: Scratch)
 
     pairs = _blocked(rows, "key", F.ceil(F.col("m") / BLOCK)).mapInArrow(compare, "a long, b long")
     out = scratch.stored(pairs.distinct(), "join-pairs")
-    scratch.drop(dense)
+    scratch.drop(dense, several)
     return out
 
 
 def _components(c: Classes, verify: Verifier, scratch: Scratch) -> DataFrame:
     """(v, root) of all classes that link."""
-    proposed = scratch.stored(_proposed(c.keys), "join-pairs")
+    proposed = scratch.stored(_proposed(c.keys, scratch), "join-pairs")
     found = verify.links(proposed)
     scratch.drop(proposed)
     root = scratch.own(components(found))
@@ -443,11 +446,11 @@ def shared_tokens(items: list[np.ndarray], first: np.ndarray, second: np.ndarray
     return out
 
 
-def _within(c: Classes, placed: DataFrame, sets: DataFrame, emit: Callable, schema: str) -> DataFrame:
+def _within(c: Classes, placed: DataFrame, sets: DataFrame, emit: Callable, schema: str, scratch: Scratch) -> DataFrame:
     """``emit`` over the blocks of every component of three classes or more: cls, rows and n per member, and the matrix of links."""
     joined = sets.join(placed, F.col("cls") == F.col("v")).select("root", "cls", "n", "items").join(c.reps.select("cls", "rows"), "cls")
     size = joined.groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("tokens")).where("m > 2")
-    rows = joined.join(size, "root")
+    rows = joined.join(scratch.stored(size, "join-sizes"), "root")
     ship(rows.sparkSession)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -487,8 +490,9 @@ def _placed(c: Classes, root: DataFrame, scratch: Scratch) -> DataFrame:
     of = c.reps.join(root, F.col("cls") == F.col("v"), "left").select("cls", "rid", "rows", F.coalesce("root", "cls").alias("root"))
     of = scratch.stored(of, "join-of")
     least = of.groupBy("root").agg(F.min("rid").alias("least"), F.count(F.lit(1)).alias("classes"), F.sum("rows").alias("total"))
+    least = scratch.stored(least, "join-least")
     out = scratch.stored(of.join(least, "root"), "join-components")
-    scratch.drop(of)
+    scratch.drop(of, least)
     return out
 
 
@@ -513,7 +517,7 @@ def counted(docs: DataFrame) -> DataFrame:
         verify = Verifier(c, scratch)
         root = _components(c, verify, scratch)
         placed = _placed(c, root, scratch)
-        counts = _within(c, root, verify.all_sets(), _counts, "cls long, linked long").groupBy("cls").agg(F.sum("linked").alias("linked"))
+        counts = _within(c, root, verify.all_sets(), _counts, "cls long, linked long", scratch).groupBy("cls").agg(F.sum("linked").alias("linked"))
         # the rows of a class link with each other; two classes of a component link, or it would not be one
         alone = F.when(F.col("classes") <= 2, F.col("total") - F.col("rows")).otherwise(F.coalesce("linked", F.lit(0)))
         each = placed.join(counts, "cls", "left").select("cls", "least", (F.col("rows") - 1 + alone).alias("n_links"))
@@ -530,7 +534,7 @@ def links(docs: DataFrame) -> DataFrame:
         verify = Verifier(c, scratch)
         root = _components(c, verify, scratch)
         sets = verify.all_sets()
-        found = _within(c, root, sets, _pairs, "a long, b long, both long, either long")
+        found = _within(c, root, sets, _pairs, "a long, b long, both long, either long", scratch)
         size = root.groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("a"), F.max("v").alias("b")).where("m = 2")
         left, right = sets.selectExpr("cls as a", "n as na", "items as ia"), sets.selectExpr("cls as b", "n as nb", "items as ib")
         two = size.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("ia", "ib")).cast("long"))

@@ -109,7 +109,7 @@ def test_matches_oracle(spark):
 
 
 def folders(spark):
-    return {x for x in os.listdir(shared_folder(spark).removeprefix("file://"))}
+    return {x for x in os.listdir(shared_folder(spark).removeprefix("file:"))}
 
 
 def test_only_the_result_is_left(spark):
