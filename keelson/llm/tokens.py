@@ -59,7 +59,7 @@ DICT_BYTES = 64 * 1024
 DICT_DOCS = 300  # documents the dictionary is trained on, at most, whole
 CACHED_CHUNKS = 800_000  # per worker
 LEVEL = 1
-SLICE_CHARS = 1 << 22  # of texts encoded at a time; a longer text is encoded alone
+SLICE_CHARS = 1 << 21  # of texts encoded at a time; a longer text is encoded alone
 
 
 def default_tokenizer() -> str:
@@ -167,7 +167,7 @@ class Encoder:
         table: list[bytes] = [b""] * len(chunks)
         for i, ids in zip(place.tolist(), self._of_chunks([chunks[i] for i in place.tolist()]), strict=True):
             table[i] = ids
-        index = index.astype(np.int64)
+        index = index.astype(np.int32)
         firsts = [chunks[i] for i in index[heads].tolist()]
         index[heads] = len(table) + np.arange(len(heads))
         table += self._ids(firsts)
@@ -177,7 +177,8 @@ class Encoder:
         starts = np.cumsum(lengths) - lengths
         each = lengths[index]
         ends = np.concatenate([[0], np.cumsum(each)])
-        ids = flat[np.repeat(starts[index] - ends[:-1], each) + np.arange(ends[-1])]
+        kind = np.int32 if ends[-1] < 1 << 31 else np.int64
+        ids = flat[np.repeat((starts[index] - ends[:-1]).astype(kind), each) + np.arange(ends[-1], dtype=kind)]
         bounds = ends[offsets]
         return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
