@@ -26,7 +26,7 @@ def test_bench_prints_one_json_line():
     lines = [line for line in proc.stdout.splitlines() if line.strip()]
     assert len(lines) == 1
     out = json.loads(lines[0])
-    assert {"metric", "value", "unit", "queries", "sf"} <= set(out)
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(out) and (out["runs"], out["corpus_runs"]) == (1, 1)
     assert out["unit"] == "sec" and out["sf"] == 0.001
     assert set(out["queries"]) == {"revenue_by_region"}
     assert out["value"] == round(sum(out["queries"].values()), 4)
