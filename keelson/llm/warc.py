@@ -345,13 +345,14 @@ def key_ranges(runs: DataFrame, parts: int) -> list[Key | None]:
     total = sum(sizes.values())
     if not total:
         return [None, None]
-    step, before, cuts = max(1, -(-total // parts)), 0, []
-    wanted = F.lit(False)
+    step, before = max(1, -(-total // parts)), 0
+    bases = []
     for part in sorted(sizes):
-        first = -before % step  # the first place in this part whose rank is a multiple of step
-        wanted = wanted | ((F.col("part") == part) & (F.col("at") % step == first % step) & (F.col("at") + before > 0))
+        bases.append((part, before))
         before += sizes[part]
-    cuts = sorted({line_key(r.key + " ") for r in ranked.where(wanted).select("key").collect()})  # one per range
+    rank = F.col("at") + F.col("before")
+    ranked_all = ranked.join(F.broadcast(runs.sparkSession.createDataFrame(bases, "part int, before long")), "part")  # a row per partition
+    cuts = sorted({line_key(r.key + " ") for r in ranked_all.where((rank > 0) & (rank % step == 0)).select("key").collect()})  # one per range
     dropped(ranked)
     return [None, *cuts, None]
 

@@ -94,7 +94,7 @@ def test_rates_are_the_optimum(spark):
 
 def test_rates_do_not_depend_on_the_partitions(spark):
     docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
-    rates = [sorted((r.doc_id, r.rate, r.copies, r.target) for r in mix(docs.repartition(n, "doc_id") if n else docs).collect()) for n in (0, 1, 3, 17)]
+    rates = [sorted((r.doc_id, r.rate, r.copies, r.target) for r in mix(docs.repartition(n, "doc_id") if n else docs).collect()) for n in (0, 7)]
     assert all(x == rates[0] for x in rates)
 
 

@@ -21,7 +21,7 @@ SF = f"{TESTDATA}/sf0.001"
 
 def test_registered():
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(sum(q.startswith(n) for q in __spark_entry__.queries()) == 1 for n in names)
     assert len(corpus_pipeline.STAGES) == 5
 
