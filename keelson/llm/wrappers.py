@@ -68,20 +68,20 @@ NOT_ARTICLE = frozenset(
 # what a class, id or role says an element is; the second kind also as the first or last word of a joined name
 NOT_ARTICLE_WORDS = frozenset(
     (
-        "ad ads advert adverts banner promo side header topbar notice alert popup modal overlay subscribe subscription signup login share sharing "
+        "ad ads advert adverts banner promo promotion cookie cookies consent gdpr side header topbar notice alert popup modal overlay subscribe subscription signup login share sharing "
         "social related recommended recommendations reply replies respond widget toolbar skip complementary contentinfo hidden"
     ).split()
 )
 NOT_ARTICLE_STEMS = frozenset(
     (
-        "advertisement sponsor sponsored promotion sidebar menu nav navbar navigation navigator breadcrumb breadcrumbs masthead footer bottombar "
-        "cookie cookies consent gdpr newsletter comment comments disqus pagination pager"
+        "advertisement sponsor sponsored sidebar menu nav navbar navigation navigator breadcrumb breadcrumbs masthead footer bottombar "
+        "newsletter comment comments disqus pagination pager"
     ).split()
 )
 GENERAL_WORDS = frozenset(
     (
         "area bar block blocks body box button buttons col column container content group holder icons inner inline item items left link links list main outer page panel "
-        "post posts primary right row secondary section site slot sticky text top bottom global unit wrap wrapper article articles stories story form mobile desktop message"
+        "post posts primary right row secondary section site slot sticky text top bottom global unit wrap wrapper article articles stories story form mobile desktop message law info settings accept"
     ).split()
 )
 STATE_WORDS = frozenset("no not has with without is are closed open opened visible collapsed expanded active enabled disabled layout off on hide show js".split())

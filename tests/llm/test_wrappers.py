@@ -91,9 +91,9 @@ ARTICLE = "<article><h1>Head</h1><p>one</p><p class='social-policy'>two</p><p cl
 
 def test_class_names(spark):
     """Names of states and of layouts do not mark an element, names of parts do."""
-    fine = ["page no-sidebar", "layout has-header has-footer", "menu-closed", "is-nav-open", "with-sidebar", "without-comments", "sidebar-hide", "cookies-off", "socialism", "padded", "adventure", "headline"]
+    fine = ["page no-sidebar", "layout has-header has-footer", "menu-closed", "is-nav-open", "with-sidebar", "without-comments", "sidebar-hide", "cookies-off", "socialism", "padded", "adventure", "headline", "cookie-recipe", "content-sidebar-wrap"]
     pages = [("http://h/", f"<body class='{c}'><div class='{c}' id='{c}'>{ARTICLE}</div></body>") for c in fine]
-    marked = ["sidebar", "site-footer", "comment-list", "cookie-banner", "share-buttons", "related-posts", "main-nav", "ad", "top-ad", "newsletter-box", "breadcrumbs", "widget-area", "no-js social"]
+    marked = ["sidebar", "site-footer", "comment-list", "cookie-banner", "share-buttons", "related-posts", "main-nav", "ad", "top-ad", "newsletter-box", "breadcrumbs", "widget-area", "no-js social", "cookie-law-info", "gdpr-consent"]
     pages += [(f"http://g{i}/", f"<body><div class='x {c}'><p>beside it</p></div>{ARTICLE}<div id='{c}'>more</div></body>") for i, c in enumerate(marked)]
     assert extracted(spark, pages) == ["Head\n\none\n\ntwo\n\nthree"] * len(pages)
 
