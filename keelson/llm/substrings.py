@@ -270,21 +270,21 @@ def repeated_windows(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFra
     dropped(shared)
     sizes = segments.groupBy("key", "segment").agg(F.max(F.octet_length("words")).alias("size"))
     hot = stored(sizes.groupBy("key").agg(F.sum("size").alias("size")).where(F.col("size") > 4 * shard_words).select("key"), "repeat-hot")
-    texts = segments.join(hot, "key", "left_anti").groupBy("segment").agg(F.min("doc_id").alias("first"), F.first("key").alias("key"), F.first("words").alias("words"))
-    matched = texts.repartition("key").sortWithinPartitions("key", "segment").mapInArrow(_match(shard_words), "segment long, firsts array<long>")
+    texts = segments.groupBy("segment").agg(F.min("doc_id").alias("first"), F.first("key").alias("key"), F.first("words").alias("words"))
+    cold = texts.join(hot, "key", "left_anti").repartition("key").sortWithinPartitions("key", "segment").mapInArrow(_match(shard_words), "segment long, firsts array<long>")
+    # the different segments with a hot key, window by window
+    last = F.expr(f"octet_length(words) div 4 - {WINDOW}").cast("int")
+    windows = texts.join(hot, "key").select("segment", "first", "words", F.explode(F.sequence(F.lit(0), last)).alias("i"))
+    windows = stored(windows.select("segment", "first", "i", F.expr(f"substring(words, 4 * i + 1, {4 * WINDOW})").alias("window")), "repeat-windows")
+    earliest = stored(windows.groupBy("window").agg(F.min("first").alias("first")), "repeat-earliest")
+    met = windows.select("segment", "i", "window").join(earliest, "window").groupBy("segment")
+    met = met.agg(F.sort_array(F.collect_list(F.struct("i", "first"))).alias("x")).select("segment", F.col("x.first").alias("firsts"))
     # segments that only their first document has, with no window of an earlier one, need no join
-    matched = stored(matched, "repeat-matched")
+    matched = stored(cold.union(met), "repeat-matched")
     hit = segments.select("doc_id", "segment", "start").join(matched, "segment")
     hit = hit.select("doc_id", F.expr("filter(transform(firsts, (f, i) -> if(f < doc_id, start + i, -1)), x -> x >= 0)").alias("starts")).where("size(starts) > 0")
-    # the windows of segments with a hot key, one by one
-    last = F.expr(f"octet_length(words) div 4 - {WINDOW}").cast("int")
-    windows = segments.join(hot, "key").select("doc_id", "start", "words", F.explode(F.sequence(F.lit(0), last)).alias("i"))
-    windows = windows.select("doc_id", (F.col("start") + F.col("i")).alias("start"), F.expr(f"substring(words, 4 * i + 1, {4 * WINDOW})").alias("window"))
-    windows = stored(windows, "repeat-windows")
-    earliest = windows.groupBy("window").agg(F.min("doc_id").alias("first"))
-    again = windows.join(earliest, "window").where("first < doc_id").select("doc_id", F.array("start").alias("starts"))
-    out = stored(hit.union(again).groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts")), "repeat-starts")
-    dropped(segments, matched, hot, windows)
+    out = stored(hit.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts")), "repeat-starts")
+    dropped(segments, matched, hot, windows, earliest)
     return out
 
 
