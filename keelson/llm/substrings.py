@@ -11,19 +11,17 @@ for word, a window of a document with a smaller doc_id.
    shard. A task builds a suffix automaton over a shard, in which each state knows the
    least doc_id of its occurrences, and streams the segments through it: where the match is at least a window
    long, the state of its last ``WINDOW`` words gives the window's first document.
-4. A minimizer under which the different segments hold over SHARD_WORDS words is hot: a 5-word run with very many
-   contexts. Its segments are taken apart into their windows, which meet by their 13 words; of equal windows the least doc_id
-   is taken before the shuffle.
-5. Each document drops the windows whose first document is smaller than itself, and with them
+4. Each document drops the windows whose first document is smaller than itself, and with them
    the maximal spans they cover.
 
 The method as dealt broadcasts every shard's automaton and streams all documents past all of
 them. That is (documents x shards) work and broadcasts that grow with the corpus; here a
 segment only goes to the one shard that can hold its match, with the same result.
 
-Scale. A shard is built whole minimizers at a time, up to ``SHARD_WORDS`` words, and a single minimizer has no more than that. Hot passages
+Scale. A shard is built whole minimizers at a time, up to ``SHARD_WORDS`` words. Hot passages
 are combined into one reference before the shuffle, and all joins have stored tables on both sides, which AQE can
-split. Texts are shuffled twice: to be cut, for documents with shared minimizers, and to be cleaned.
+split. Texts are shuffled twice: to be cut, for documents with shared minimizers, and to be cleaned. The memory of a
+task grows with the different contexts of one 5-word run within 21 words, not with its copies.
 
 Words are compared by 64-bit hashes to find minimizers and by 32-bit hashes of 13 words in a
 row in the automaton.
@@ -193,7 +191,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _match(shard_words: int):
+def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (segment, key, words, first) sorted by key to (segment, firsts), shard by shard."""
 
     def shard(held: list[tuple[int, list[int], int]]) -> pa.RecordBatch:
@@ -208,21 +206,18 @@ def _match(shard_words: int):
             }
         )
 
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, last = [], 0, None
-        for batch in batches:
-            for segment, key, words, first in zip(*(batch.column(c).to_pylist() for c in ("segment", "key", "words", "first")), strict=True):
-                if size >= shard_words and key != last:
-                    yield shard(held)
-                    held, size = [], 0
-                text = np.frombuffer(words, np.uint32).tolist()
-                held.append((segment, text, first))
-                size += len(text)
-                last = key
-        if held:
-            yield shard(held)
-
-    return match
+    held, size, last = [], 0, None
+    for batch in batches:
+        for segment, key, words, first in zip(*(batch.column(c).to_pylist() for c in ("segment", "key", "words", "first")), strict=True):
+            if size >= SHARD_WORDS and key != last:
+                yield shard(held)
+                held, size = [], 0
+            text = np.frombuffer(words, np.uint32).tolist()
+            held.append((segment, text, first))
+            size += len(text)
+            last = key
+    if held:
+        yield shard(held)
 
 
 CLEANED = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -258,7 +253,7 @@ def _cleaner(texts_too: bool):
     return clean
 
 
-def repeated_windows(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
+def repeated_windows(docs: DataFrame) -> DataFrame:
     """(doc_id, starts): the first words of the windows that a smaller doc_id has as well."""
     ship(docs.sparkSession)
     named = docs.where("doc_id is not null")
@@ -267,24 +262,14 @@ def repeated_windows(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFra
     shared = stored(marks.join(twice, "key").groupBy("doc_id").agg(F.collect_set("key").alias("keys")), "repeat-shared")
     dropped(marks, twice)
     segments = stored(named.join(shared, "doc_id").select("doc_id", "text", "keys").mapInArrow(_cut, SEGMENTS), "repeat-segments")
-    dropped(shared)
-    sizes = segments.groupBy("key", "segment").agg(F.max(F.octet_length("words")).alias("size"))
-    hot = stored(sizes.groupBy("key").agg(F.sum("size").alias("size")).where(F.col("size") > 4 * shard_words).select("key"), "repeat-hot")
     texts = segments.groupBy("segment").agg(F.min("doc_id").alias("first"), F.first("key").alias("key"), F.first("words").alias("words"))
-    cold = texts.join(hot, "key", "left_anti").repartition("key").sortWithinPartitions("key", "segment").mapInArrow(_match(shard_words), "segment long, firsts array<long>")
-    # the different segments with a hot key, window by window
-    last = F.expr(f"octet_length(words) div 4 - {WINDOW}").cast("int")
-    windows = texts.join(hot, "key").select("segment", "first", "words", F.explode(F.sequence(F.lit(0), last)).alias("i"))
-    windows = stored(windows.select("segment", "first", "i", F.expr(f"substring(words, 4 * i + 1, {4 * WINDOW})").alias("window")), "repeat-windows")
-    earliest = stored(windows.groupBy("window").agg(F.min("first").alias("first")), "repeat-earliest")
-    met = windows.select("segment", "i", "window").join(earliest, "window").groupBy("segment")
-    met = met.agg(F.sort_array(F.collect_list(F.struct("i", "first"))).alias("x")).select("segment", F.col("x.first").alias("firsts"))
+    matched = texts.repartition("key").sortWithinPartitions("key", "segment").mapInArrow(_match, "segment long, firsts array<long>")
     # segments that only their first document has, with no window of an earlier one, need no join
-    matched = stored(cold.union(met), "repeat-matched")
+    matched = stored(matched, "repeat-matched")
     hit = segments.select("doc_id", "segment", "start").join(matched, "segment")
     hit = hit.select("doc_id", F.expr("filter(transform(firsts, (f, i) -> if(f < doc_id, start + i, -1)), x -> x >= 0)").alias("starts")).where("size(starts) > 0")
     out = stored(hit.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts")), "repeat-starts")
-    dropped(segments, matched, hot, windows, earliest)
+    dropped(shared, segments, matched)
     return out
 
 
