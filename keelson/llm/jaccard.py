@@ -15,8 +15,10 @@ when ``100 * intersection >= 80 * union``.
    as well, where heavy ones find them.
 5. A key (subset or list) of up to DENSE members proposes all its pairs. A denser one proposes its pivot with each other member. Proposed
    pairs are ruled out by bit signatures that bound their difference, and the rest verified on whole sets.
-6. Dense keys whose members now lie in several components are open: their members meet in blocks, where signatures are compared and only
-   pairs of different components that may link are proposed. After these no link between components is missing.
+6. Dense keys whose members now lie in several components are open: their members meet in blocks, where the signatures of all pairs of
+   different components are compared. A block sends a spanning forest of the pairs that may link, never the pairs, so every such pair
+   lies inside one group of classes. The groups are compared exactly, as in 7, and each block sends a spanning forest of the links it
+   finds. After these no link between components is missing.
 7. The number of links needs pairs of one component only. Components of two classes have one; larger ones are compared exactly in
    blocks, a bit per shared token, and each block sends one count per member, never a row per pair.
 
@@ -24,7 +26,7 @@ when ``100 * intersection >= 80 * union``.
 
 Scale. The text is read three times: for class keys, for the tokens in their order, and once more for the sets of the
 classes in proposed pairs. Tokens travel once in hash order (a fifth of them) and once in the fed-back order. Rows per key are at most
-DENSE / 2 for each member. Blocks have at most BLOCK members and, on average, BLOCK_TOKENS tokens. The table of frequent tokens has at most
+DENSE / 2 for each member, and a block sends fewer rows than it has members. Blocks have at most BLOCK members and, on average, BLOCK_TOKENS tokens. The table of frequent tokens has at most
 HOT rows, whatever the input. All stored tables but the result are deleted before it is returned.
 
 Edge cases. Null or wordless texts have an empty set: n_shingles 0, no link, their own
@@ -287,6 +289,17 @@ class Verifier:
             out = out.union(more)
         return out
 
+    def fetched(self, wanted: DataFrame) -> DataFrame:
+        """All sets read so far, after those of the distinct ``cls`` in wanted."""
+        c, scratch = self.c, self.scratch
+        for known in self.sets:
+            wanted = wanted.join(known.select("cls"), "cls", "left_anti")
+        wanted = scratch.stored(wanted.join(c.reps.select("cls", "rid"), "cls"), "join-wanted")
+        found = sets_of(c.docs, wanted).join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
+        self.sets.append(scratch.stored(found, "join-sets"))
+        scratch.drop(wanted)
+        return self.all_sets()
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The stored pairs (a, b) that link, with intersection and union."""
         c, scratch = self.c, self.scratch
@@ -294,20 +307,14 @@ class Verifier:
         # 9 * (symmetric difference) <= n + m is the same condition; the signatures bound the difference from below
         near = pairs.join(x, "a").join(y, "b").where(_differ(F.col("pa"), F.col("pb")) * (NUMERATOR + DENOMINATOR) <= (F.col("na") + F.col("nb")) * (DENOMINATOR - NUMERATOR))
         near = scratch.stored(near.select("a", "b"), "join-near")
-        wanted = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        for known in self.sets:
-            wanted = wanted.join(known.select("cls"), "cls", "left_anti")
-        wanted = scratch.stored(wanted.join(c.reps.select("cls", "rid"), "cls"), "join-wanted")
-        found = sets_of(c.docs, wanted).join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
-        self.sets.append(scratch.stored(found, "join-sets"))
-        sets = self.all_sets()
+        sets = self.fetched(near.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
         left = sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("items").alias("ia"))
         right = sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("items").alias("ib"))
         both = near.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("ia", "ib")))
         either = F.col("na") + F.col("nb") - F.col("both")
         linked = both.select("a", "b", "both", either.alias("either")).where(F.col("both") * DENOMINATOR >= F.col("either") * NUMERATOR)
         out = scratch.stored(linked.select("a", "b"), "join-links")
-        scratch.drop(near, wanted)
+        scratch.drop(near)
         return out
 
 
@@ -366,8 +373,26 @@ def _signatures(table: pa.Table) -> tuple[dict[int, np.ndarray], np.ndarray]:
     return {int(w): np.stack([flat[e - w : e] for e in ends[lengths == w]]) for w in np.unique(lengths)}, lengths
 
 
-def _open_pairs(keys: DataFrame, root: DataFrame, c: Classes, scratch: Scratch) -> DataFrame:
-    """Distinct pairs (a, b) in dense keys that lie in different components and that signatures do not rule out."""
+def _united(label: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+    """Gives i and the others one label; returns those of the others, one per label, that had another one than i."""
+    labels, at = np.unique(label[others], return_index=True)
+    fresh = labels != label[i]
+    if fresh.any():
+        label[np.isin(label, labels[fresh])] = label[i]
+    return others[at[fresh]]
+
+
+def _edges(forest: list[tuple[int, np.ndarray]], cls: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if forest:
+        a = np.repeat([i for i, _ in forest], [len(x) for _, x in forest])
+        yield pa.RecordBatch.from_pydict({"a": cls[a], "b": cls[np.concatenate([x for _, x in forest])]})
+
+
+def _open_edges(keys: DataFrame, root: DataFrame, c: Classes, scratch: Scratch) -> DataFrame:
+    """Edges (a, b) that connect all pairs in dense keys that lie in different components and that signatures do not rule out.
+
+    A block sends a spanning forest of its pairs, so its rows are fewer than its members.
+    """
     dense = keys.where(F.col("members") > DENSE).join(root, F.col("cls") == F.col("v"), "left").select("key", "cls", "n", "heavy", "scan", F.coalesce("root", "cls").alias("root"))
     dense = scratch.stored(dense, "join-placed")
     several = dense.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo != hi").select("key", "m")
@@ -383,10 +408,10 @@ def _open_pairs(keys: DataFrame, root: DataFrame, c: Classes, scratch: Scratch)
             place = np.zeros(len(cls), np.int64)
             for w in of_length:
                 place[lengths == w] = np.arange((lengths == w).sum())
-            out = []
+            label, out = np.arange(len(cls)), []
             first = np.flatnonzero(block == lo)
             for i in first.tolist():
-                fits = (root != root[i]) & (np.minimum(n, n[i]) * DENOMINATOR >= np.maximum(n, n[i]) * NUMERATOR) & (heavy | heavy[i] | ~scan)
+                fits = (root != root[i]) & (label != label[i]) & (np.minimum(n, n[i]) * DENOMINATOR >= np.maximum(n, n[i]) * NUMERATOR) & (heavy | heavy[i] | ~scan)
                 fits &= (block == hi) if lo != hi else (np.arange(len(cls)) > i)
                 for w, all_of in of_length.items():
                     at = np.flatnonzero(fits & (lengths == w))
@@ -400,13 +425,12 @@ def _open_pairs(keys: DataFrame, root: DataFrame, c: Classes, scratch: Scratch)
                         theirs = theirs[:, :half] ^ theirs[:, half:]
                     differ = np.bitwise_count(theirs ^ mine).sum(axis=1, dtype=np.int64)
                     near = at[differ * (NUMERATOR + DENOMINATOR) <= (n[at].astype(np.int64) + n[i]) * (DENOMINATOR - NUMERATOR)]
-                    if len(near):
-                        out.append((np.minimum(cls[near], cls[i]), np.maximum(cls[near], cls[i])))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[j] for x in out])) for j in (0, 1)], ["a", "b"])
+                    fresh = _united(label, i, near)
+                    if len(fresh):
+                        out.append((i, fresh))
+            yield from _edges(out, cls)
 
-    pairs = _blocked(rows, "key", F.ceil(F.col("m") / BLOCK)).mapInArrow(compare, "a long, b long")
-    out = scratch.stored(pairs.distinct(), "join-pairs")
+    out = scratch.stored(_blocked(rows, "key", F.ceil(F.col("m") / BLOCK)).mapInArrow(compare, "a long, b long"), "join-edges")
     scratch.drop(dense, several)
     return out
 
@@ -417,10 +441,14 @@ def _components(c: Classes, verify: Verifier, scratch: Scratch) -> DataFrame:
     found = verify.links(proposed)
     scratch.drop(proposed)
     root = scratch.own(components(found))
-    more = _open_pairs(c.keys, root, c, scratch)
-    if not more.isEmpty():
+    edges = _open_edges(c.keys, root, c, scratch)
+    if not edges.isEmpty():
         scratch.drop(root)
-        root = scratch.own(components(scratch.stored(found.union(verify.links(more)), "join-found")))
+        near = scratch.own(components(edges))
+        sets = verify.fetched(near.select(F.col("v").alias("cls")))
+        more = _within(c, near, sets, _forest, "a long, b long", scratch, least=2)
+        root = scratch.own(components(scratch.stored(found.union(more), "join-found")))
+        scratch.drop(near)
     return root
 
 
@@ -446,10 +474,10 @@ def shared_tokens(items: list[np.ndarray], first: np.ndarray, second: np.ndarray
     return out
 
 
-def _within(c: Classes, placed: DataFrame, sets: DataFrame, emit: Callable, schema: str, scratch: Scratch) -> DataFrame:
-    """``emit`` over the blocks of every component of three classes or more: cls, rows and n per member, and the matrix of links."""
+def _within(c: Classes, placed: DataFrame, sets: DataFrame, emit: Callable, schema: str, scratch: Scratch, least: int = 3) -> DataFrame:
+    """``emit`` over the blocks of every group of ``placed`` of three classes or more: cls, rows and n per member, and the matrix of links."""
     joined = sets.join(placed, F.col("cls") == F.col("v")).select("root", "cls", "n", "items").join(c.reps.select("cls", "rows"), "cls")
-    size = joined.groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("tokens")).where("m > 2")
+    size = joined.groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("tokens")).where(F.col("m") >= least)
     rows = joined.join(scratch.stored(size, "join-sizes"), "root")
     ship(rows.sparkSession)
 
@@ -480,6 +508,12 @@ def _counts(cls, weight, first, second, linked, both, either, same) -> Iterator[
         yield pa.RecordBatch.from_pydict({"cls": cls[second], "linked": linked.T @ weight[first]})
 
 
+def _forest(cls, weight, first, second, linked, both, either, same) -> Iterator[pa.RecordBatch]:
+    label = np.arange(len(cls))
+    forest = [(i, _united(label, i, second[row])) for i, row in zip(first.tolist(), linked, strict=True)]
+    yield from _edges(forest, cls)
+
+
 def _pairs(cls, weight, first, second, linked, both, either, same) -> Iterator[pa.RecordBatch]:
     i, j = np.nonzero(np.triu(linked) if same else linked)
     yield pa.RecordBatch.from_pydict({"a": cls[first[i]], "b": cls[second[j]], "both": both[i, j], "either": either[i, j]})
